@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alinea.functions.clean import clean_code, clean_id, id_bytes, id_text, null_if_blank
-from alinea.llm import set_join, survivorship, topn
+from alinea.functions.clean import clean_code, clean_id, id_bytes, id_text, null_if_blank, strip
+from alinea.llm import mixing, packing, quality, set_join, survivorship, tokens, topn
 from alinea.plans import sql
 from alinea.sources.tables import table
 
@@ -44,12 +44,75 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return best.select("habilidade_code", id_text(F.col("item")).alias("cc_standard_id"), "place")
 
 
+def _sized(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, d, "documents", *columns, "text"), "text")
+
+
+def p7_containers(spark: SparkSession, d: str) -> DataFrame:
+    """Each text's container for each capacity, with the container's fill."""
+    rows = table(spark, d, "pack_capacity").limit(1001).collect()
+    if len(rows) > 1000:
+        raise ValueError("the table of capacities is too large")
+    packed = packing.pack(_sized(spark, d, "doc_id"), "doc_id", "tokens", {r["capacity_name"]: r["capacity_tokens"] for r in rows})
+    return packed.select("capacity_name", F.col("item").alias("doc_id"), "piece", F.col("size").alias("tokens"), "container", "fill")
+
+
+def p7_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Containers, tokens and share of room used per capacity."""
+    bins = p7_containers(spark, d).filter("container is not null").groupBy("capacity_name", "container").agg(F.first("fill").alias("fill"), F.count("*").alias("n"))
+    room = table(spark, d, "pack_capacity")
+    out = bins.groupBy("capacity_name").agg(F.count("*").alias("containers"), F.sum("n").alias("pieces"), F.sum("fill").alias("tokens"))
+    return out.join(F.broadcast(room), "capacity_name").select("capacity_name", "containers", "pieces", "tokens", (F.col("tokens") / (F.col("containers") * F.col("capacity_tokens"))).alias("fill_share"))
+
+
+def _source(c: str):
+    """A source's name in comparable form: lower case, trimmed, words joined by _."""
+    return F.regexp_replace(F.lower(strip(null_if_blank(F.col(c)))), r"[\s\x{00a0}_\-]+", "_")
+
+
+def _mixture(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    docs = _sized(spark, d, "doc_id", "source").withColumn("source", _source("source"))
+    targets = table(spark, d, "mix_targets").withColumn("source", _source("source"))
+    return mixing.plan_mixture(docs, targets, "doc_id", "tokens")
+
+
+def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return _mixture(spark, d)[0].select("source", F.col("item").alias("doc_id"), F.col("size").alias("tokens"), "repeats")
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _mixture(spark, d)[1]
+
+
+def _quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality.quality(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", table(spark, d, "common_words"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return _quality(spark, d).filter("kind <> 'prose'").select("doc_id", "kind")
+
+
+def p9_measures(spark: SparkSession, d: str) -> DataFrame:
+    shares = ["mean_word_length", "symbol_share", "single_letter_share", "distinct_share", "common_share"]
+    q = _quality(spark, d)
+    return q.select(
+        "doc_id", "kind", F.array_join("reasons", "; ").alias("reasons"), "n_chars", "n_words", "n_lines",
+        (F.col("n_punct_ends") / F.col("n_lines")).alias("punct_end_share"), (F.col("n_bullets") / F.col("n_lines")).alias("bullet_share"), *shares,
+    )
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_best": p1_best,
     "p2_found": p2_found,
     "p2_links": p2_links,
     "p5_found": p5_found,
+    "p7_containers": p7_containers,
+    "p7_fill": p7_fill,
+    "p8_mixture": p8_mixture,
+    "p8_shares": p8_shares,
+    "p9_found": p9_found,
+    "p9_measures": p9_measures,
 }
 
 _SETS = f"""
