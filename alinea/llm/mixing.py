@@ -65,7 +65,8 @@ def _budgets(spark_totals: DataFrame, targets: DataFrame, total: int | None) ->
     t["tokens"] = t["tokens"].fillna(0).astype("int64")
     t["supply"] = t["tokens"] * t["max_repeats"]
     if total is None:
-        total = int(t["tokens"].sum())
+        has = t[(t["tokens"] > 0) & (t["target_share"] > 0)]
+        total = int((has["supply"] // has["target_share"]).min()) if len(has) else 0
     t["budget"] = [int(round(total * s)) for s in t["target_share"]]
     reach = np.minimum(t["budget"], t["supply"])
     t["passes"] = [int(r // n) if n else 0 for r, n in zip(reach, t["tokens"])]
@@ -77,8 +78,9 @@ def plan_mixture(docs: DataFrame, targets: DataFrame, item: str, size: str, tota
     """(mixture, shares): which documents are used how often, and what each source reaches.
 
     ``docs`` has item, source and size; ``targets`` (a small table: at most 10,000 sources) has
-    source, target_share and max_repeats. The total size is ``total`` or, if not given, the size of
-    all documents of the target sources. Each source gets its share of it as its budget: as many
+    source, target_share and max_repeats. The total size is ``total`` or, if not given, the largest at
+    which every source that has documents can hold its share within max_repeats; then only sources
+    without documents fall short. Each source gets its share of the total as its budget: as many
     whole passes over the source as fit, then documents whose sizes fill the rest exactly or as
     nearly as their sizes allow (``fit_budget``, on the counts of documents per exact size). A source
     that can't meet its budget within max_repeats is used max_repeats times in full and its shortfall

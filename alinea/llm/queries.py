@@ -70,10 +70,10 @@ def _source(c: str):
     return F.regexp_replace(F.lower(strip(null_if_blank(F.col(c)))), r"[\s\x{00a0}_\-]+", "_")
 
 
-def _mixture(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def _mixture(spark: SparkSession, d: str, total: int | None = None) -> tuple[DataFrame, DataFrame]:
     docs = _sized(spark, d, "doc_id", "source").withColumn("source", _source("source"))
     targets = table(spark, d, "mix_targets").withColumn("source", _source("source"))
-    return mixing.plan_mixture(docs, targets, "doc_id", "tokens")
+    return mixing.plan_mixture(docs, targets, "doc_id", "tokens", total)
 
 
 def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
@@ -84,6 +84,12 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mixture(spark, d)[1]
 
 
+def p8_shares_fixed(spark: SparkSession, d: str) -> DataFrame:
+    """Shares reached if the mixture is to have as many tokens as all documents, with the shortfalls."""
+    total = _sized(spark, d, "doc_id").agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("all_tokens")).collect()[0]["all_tokens"]
+    return _mixture(spark, d, total)[1]
+
+
 def _quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.quality(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", table(spark, d, "common_words"))
 
@@ -111,6 +117,7 @@ QUERIES = {
     "p7_fill": p7_fill,
     "p8_mixture": p8_mixture,
     "p8_shares": p8_shares,
+    "p8_shares_fixed": p8_shares_fixed,
     "p9_found": p9_found,
     "p9_measures": p9_measures,
 }
