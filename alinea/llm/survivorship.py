@@ -88,7 +88,7 @@ def spelling_candidates(texts: DataFrame, words: str, min_len: int = 5, once: in
     Words of letters only, of ``min_len`` or more, with the same first letter, one slip apart (a
     letter more, less, wrong, or two swapped) and ``once`` times as frequent, or two slips apart
     (from seven letters) and ``twice`` times as frequent. Frequencies count the texts that hold a
-    word. Pairs meet through words with letters left out, so the work follows the vocabulary.
+    word. Words that are slips themselves correct nothing. Pairs meet through words with letters left out, so the work follows the vocabulary.
     """
     vocab = texts.select(F.explode(F.array_distinct(words)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     vocab = materialize(vocab.filter(F.col("word").rlike(r"^\p{L}+$") & (F.length("word") >= min_len)), "vocabulary")
@@ -99,10 +99,12 @@ def spelling_candidates(texts: DataFrame, words: str, min_len: int = 5, once: in
     met = met.select("word", "n", "fix", "n_fix").distinct()
     gap = F.levenshtein("word", "fix")
     letters = lambda c: F.array_sort(F.split(c, ""))
-    swapped = (gap == 2) & (letters(F.col("word")) == letters(F.col("fix")))
-    near = (gap == 1) | swapped
-    far = (gap <= 3) & (F.length("word") >= 7) & (F.col("n_fix") >= twice * F.col("n"))
-    met = met.withColumn("near", near).filter(near | far)
+    same_letters = letters(F.col("word")) == letters(F.col("fix"))
+    near = (gap == 1) | ((gap == 2) & same_letters)
+    far = ((gap <= 3) | ((gap == 4) & same_letters)) & (F.length("word") >= 7) & (F.col("n_fix") >= twice * F.col("n"))
+    met = materialize(met.withColumn("near", near).filter(near | far), "near_words")
+    # A word that is itself a slip is nobody's correction.
+    met = met.join(met.filter("near").select(F.col("word").alias("fix")).distinct(), "fix", "left_anti")
     closest = met.groupBy("word").agg(F.max("near").alias("any_near"))
     return met.join(closest, "word").filter(~F.col("any_near") | F.col("near")).select("word", "fix", "near", "n_fix")
 
