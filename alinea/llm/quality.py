@@ -16,55 +16,70 @@ THRESHOLDS = {
     "long_token_share": 0.5,  # characters in unbroken runs of 40 and more
     "run_share": 0.3,  # characters in runs of one or two repeated characters
     "garbled_share": 0.04,  # signs that only decoding errors leave, per character
-    "code_share": 0.1,  # brackets, operators and the like of programs, per character
     "distinct_share": 0.22,  # different sequences of four words among all
     "common_share": 0.05,  # common words among all, below which words mean nothing
     "majority": 0.5,
 }
 
-_CODE_ITEM = r"\(?E[IFM][0-9]{2}[A-Z]{2,3}[0-9]{2,7}\)?"
+_CODE_ITEM = r"(?<![A-Za-z0-9])E[IFM][0-9]{2}[A-Z]{2,3}[0-9]{2,7}(?![A-Za-z0-9])"
 _BULLET = r"^(?:[-*•–·‣▪◦]|\d{1,3}[.)]|\(?[A-Za-z][.)]|[ivx]{1,4}[.)]|\[[ xX]?\])\s"
-_PLAIN_TAG = r"(?i)</?(?:p|br|b|i|u|em|strong|span|h[1-6])(?:\s[^<>]{0,200})?/?>"
+_PLAIN_TAG = r"</?(?:p|P|br|BR|b|B|i|I|u|em|strong|span|h[1-6])(?:\s[^<>]{0,200})?/?>"
 #: A line break inside a sentence: the next line goes on in lower case and is no item or named field.
 _WRAP = r"(?<=[\p{L}\p{N},’'\-])[ \t\x{a0}]*\r?\n(?=\p{Ll}(?![).])[^:;|\t\r\n]{0,60}(?:[\r\n.,;!?]|.{60}|$))"
-_USUAL = r"[^\p{L}\p{N}\s.,;:!?'\"()\[\]\-–—…/%ºª°“”‘’¿¡•*]"
+#: Signs of programs, of drawing and of decoding errors; letters, digits and usual punctuation aren't among them.
+_SYMBOL = r"[#$&+<=>@\\^_`{|}~¢£¤¥¦§¨©¬\x{ad}®¯±²³´µ¶¸¹»«¼½¾×÷\x{80}-\x{9f}\x{2030}-\x{2038}\x{2190}-\x{2bff}\x{e000}-\x{f8ff}\x{fffd}]"
 
 
 def _count(c: Column, pattern: str) -> Column:
     return F.regexp_count(c, F.lit(pattern))
 
 
-def _share_of_length(c: Column, pattern: str) -> Column:
-    """Share of the characters that the pattern covers."""
-    n = F.length(c)
-    return F.when(n > 0, (n - F.length(F.regexp_replace(c, pattern, ""))) / n).otherwise(0.0)
+def _times(c: Column, part: str) -> Column:
+    """How often a plain string occurs."""
+    return F.floor((F.length(c) - F.length(F.replace(c, F.lit(part), F.lit("")))) / len(part)).cast("int")
 
 
-def line_class(line: Column) -> Column:
+def _covered(c: Column, pattern: str) -> Column:
+    """How many characters the pattern covers."""
+    return F.length(c) - F.length(F.regexp_replace(c, pattern, ""))
+
+
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that later columns use many times but that is worked out once per row.
+
+    A generator of one row keeps the optimizer from copying the expression into each of its uses.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def line_counts(line: Column) -> Column:
+    """What the classes of lines are told by, from plain string searches where these do."""
+    return F.struct(
+        (_times(line, " ") + 1).alias("words"), _times(line, ";").alias("semi"), _times(line, "; ").alias("semi_blank"), _times(line, ",").alias("comma"), _times(line, ", ").alias("comma_blank"),
+        line.rlike(r"[.!?…]['\"”)]?$").alias("stops"), line.rlike(_BULLET).alias("bullet"), line.rlike(r"[.!?…]\s+\p{L}").alias("inner_stop"), line.rlike(r"^\p{Ll}").alias("lower"),
+    )
+
+
+def line_class(line: Column, f: Column) -> Column:
     """table, record (a named field), item, short or prose: what one trimmed line looks like."""
-    words = _count(line, r"\p{L}[\p{L}\p{M}'’\-]*|\d[\d.,]*")
-    seps = _count(line, r"[,;](?=\s)")
-    numeric = line.rlike(r"^[\s\d.,%+\-/|]*$") & (_count(line, r"\d[\d.,]*") >= 3)
-    table = (
-        line.rlike(r"\t|^\||^\+[-=+]{3,}|(?i)</?t(?:able|r|d|h|body|head)\b|^\"[^\"]*\"(?:,\"[^\"]*\")+$|\S {3,}\S")
-        | ((_count(line, ";") >= 2) & ~line.rlike(r";\s"))
-        | ((_count(line, ",") >= 2) & ~line.rlike(r",\s") & ~line.rlike(r"\p{L}{3,} \p{L}{2,} \p{L}{2,}"))
-        | numeric
-    )
-    codes = line.rlike(f"^(?:{_CODE_ITEM}[\\s,;.]*)+$")
-    leader = line.rlike(r"[.·_]{4,}\s*\d+$|(?:\. ){4,}\d+$")
-    ends = line.rlike(r"[.!?…:]['\"”)]?$")
-    inner_end = line.rlike(r"[.!?…]\s+\p{L}")
-    semicolons = _count(line, r";(?=\s)")
-    short_parts = ((seps >= 3) & (words <= 6 * (seps + 1)) & ~line.rlike(r"[.!?]$")) | ((seps >= 5) & (words <= 4 * (seps + 1)))
-    row_of_items = ~inner_end & (short_parts | ((semicolons >= 3) & (words <= 10 * (semicolons + 1))))
+    words, seps = f["words"], f["semi_blank"] + f["comma_blank"]
+    tag = (F.contains(line, F.lit("<t")) | F.contains(line, F.lit("<T")) | F.contains(line, F.lit("</t"))) & line.rlike(r"(?i)</?t(?:able|r|d|h|body|head)\b")
+    quoted = line.startswith('"') & F.contains(line, F.lit('","'))
+    columns = F.contains(line, F.lit("\t")) | line.startswith("|") | line.startswith("+--") | line.startswith("+==") | F.contains(line, F.lit("   "))
+    numeric = line.rlike(r"^[\s\d.,%+\-/|]*$") & (words >= 3)
+    bare_semi = (f["semi"] >= 2) & (f["semi_blank"] == 0)
+    bare_comma = (f["comma"] >= 2) & (f["comma_blank"] == 0) & ~line.rlike(r"\p{L}{3,} \p{L}{2,} \p{L}{2,}")
+    codes = line.rlike(r"^\(?E[IFM]\d\d") & (_count(line, _CODE_ITEM) == _count(line, r"[^\s,;.()]+"))
+    leader = F.contains(line, F.lit("....")) & line.rlike(r"[.·_]{4,}\s*\d+$")
+    short_parts = ((seps >= 3) & (words <= 6 * (seps + 1)) & ~f["stops"]) | ((seps >= 5) & (words <= 4 * (seps + 1)))
+    row_of_items = ~f["inner_stop"] & (short_parts | ((f["semi_blank"] >= 3) & (words <= 10 * (f["semi_blank"] + 1))))
     return (
-        F.when(table, "table")
+        F.when(columns | tag | quoted | bare_semi | bare_comma | numeric, "table")
         .when(codes | leader, "item")
-        .when(line.rlike(r"^[\p{L}_][\p{L}\p{N}_\- ]{0,24}: \S") & (words <= 14), "record")
-        .when(line.rlike(_BULLET) & (words <= 18), "item")
+        .when((words <= 14) & line.rlike(r"^[\p{L}_][\p{L}\p{N}_\- ]{0,24}: \S"), "record")
+        .when(f["bullet"] & (words <= 18), "item")
         .when(row_of_items, "item")
-        .when((words <= 11) & ~ends & ~inner_end, "short")
+        .when((words <= 11) & ~f["stops"] & ~line.endswith(":") & ~f["inner_stop"], "short")
         .otherwise("prose")
     )
 
@@ -77,42 +92,43 @@ def line_measures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """
     unwrapped = F.regexp_replace(F.regexp_replace(F.col(text), _PLAIN_TAG, "\n"), _WRAP, " ")
     lines = docs.select(doc_id, F.explode(F.split(unwrapped, r"\r\n|\r|\n")).alias("raw"))
-    lines = lines.select(doc_id, strip(F.col("raw")).alias("line")).filter("line <> ''")
-    lines = lines.withColumn("class", line_class(F.col("line"))).withColumn("n", F.length("line").cast("long"))
+    lines = _once(lines, "line", strip(F.col("raw"))).drop("raw").filter("line <> ''")
+    lines = _once(lines, "f", line_counts(F.col("line")))
+    lines = _once(lines, "class", line_class(F.col("line"), F.col("f"))).withColumn("n", F.length("line").cast("long"))
     of = lambda c: F.sum(F.when(F.col("class") == c, F.col("n")).otherwise(0))
-    field = F.when(F.col("class") == "record", F.hash(F.regexp_extract("line", "^([^:]*):", 1)))
+    field = F.when(F.col("class") == "record", F.hash(F.substring_index("line", ":", 1)))
     return lines.groupBy(doc_id).agg(
         F.count("*").alias("n_lines"), F.sum("n").alias("n_line_chars"),
         of("table").alias("table_chars"), of("record").alias("record_chars"), of("item").alias("item_chars"), of("short").alias("short_chars"), of("prose").alias("prose_chars"),
         F.count(field).alias("n_fields"), F.approx_count_distinct(field).alias("n_field_names"),
-        F.count_if(F.col("class") == "short").alias("n_short"), F.count_if((F.col("class") == "short") & F.col("line").rlike(r"^\p{Ll}")).alias("n_short_lower"),
-        F.count_if(F.col("line").rlike(r"[.!?…]['\"”)]?$")).alias("n_punct_ends"), F.count_if(F.col("line").rlike(_BULLET)).alias("n_bullets"),
+        F.count_if(F.col("class") == "short").alias("n_short"), F.count_if((F.col("class") == "short") & F.col("f.lower")).alias("n_short_lower"),
+        F.count_if(F.col("f.stops")).alias("n_punct_ends"), F.count_if(F.col("f.bullet")).alias("n_bullets"),
     )
 
 
 def text_measures(docs: DataFrame, doc_id: str, text: str, common_words: list[str]) -> DataFrame:
     """One row per text: words, their mean length and the shares that the rules use."""
-    t = F.col(text)
-    low = F.lower(t)
-    words = F.regexp_extract_all(low, F.lit(r"([\p{L}\p{M}\p{N}]+)"), 1)
-    base = docs.select(doc_id, t.alias("t"), low.alias("low"), words.alias("w"))
-    n = F.size("w")
-    common = F.array(*(F.lit(w) for w in sorted(set(common_words))))
-    four = F.transform(F.sequence(F.lit(1), F.greatest(n - 3, F.lit(1))), lambda i: F.xxhash64(F.slice("w", i, 4)))
-    letters = F.length(F.regexp_replace("low", r"[^\p{L}\p{M}\p{N}]", ""))
-    tokens = _count(F.col("t"), r"\S+")
-    return base.select(
-        doc_id, F.length("t").alias("n_chars"), n.alias("n_words"),
+    t = F.col("t")
+    base = docs.select(doc_id, F.col(text).alias("t"))
+    base = _once(base, "w", F.filter(F.split(F.lower("t"), r"[^\p{L}\p{M}\p{N}]+"), lambda x: x != ""))
+    n, n_chars = F.size("w"), F.length("t")
+    four = F.transform("w", lambda x, i: F.xxhash64(x, F.get(F.col("w"), i + 1), F.get(F.col("w"), i + 2), F.get(F.col("w"), i + 3)))
+    common = sorted(set(common_words)) or [""]
+    share = lambda x: F.when(n_chars > 0, x / n_chars).otherwise(0.0)
+    letters = F.aggregate("w", F.lit(0), lambda s, x: s + F.length(x))
+    tokens = _once(base, "k", F.split(F.regexp_replace("t", r"\s+", " "), " "))
+    many = F.size(F.filter("k", lambda x: x != ""))
+    return tokens.select(
+        doc_id, n_chars.alias("n_chars"), n.alias("n_words"),
         F.when(n > 0, letters / n).otherwise(0.0).alias("mean_word_length"),
-        _share_of_length(F.col("t"), _USUAL).alias("symbol_share"),
-        F.when(tokens > 0, _count(F.col("t"), r"(?<!\S)\S(?!\S)") / tokens).otherwise(0.0).alias("single_letter_share"),
-        _share_of_length(F.col("t"), r"[^\s|<>]{40,}").alias("long_token_share"),
-        _share_of_length(F.col("t"), r"([^\s.])\1{3,}|(\p{L}{2})\2{2,}|\.{8,}").alias("run_share"),
-        _share_of_length(F.col("t"), r"[\x{fffd}¤§\x{80}-\x{9f}]|Ã(?=[a-z\s])").alias("garbled_share"),
-        _share_of_length(F.col("t"), r"[{}<>=;$&#@\\^~|+]").alias("code_share"),
-        F.when(n >= 8, F.size(F.array_distinct(four)) / (n - 3)).otherwise(1.0).alias("distinct_share"),
-        F.when(n > 0, F.size(F.filter("w", lambda x: F.array_contains(common, x))) / n).otherwise(0.0).alias("common_share"),
-        _count(F.col("t"), r"(?m)^\s*(?:[0-9a-fA-F]{2}\s){8,}|^\s*\d{4}-\d\d-\d\d[T ]\d\d:\d\d:\d\d\S*\s+\p{Lu}{4,}|function\s*\(|</?script").alias("machine_lines"),
+        share(_covered(t, _SYMBOL)).alias("symbol_share"),
+        F.when(many > 0, F.size(F.filter("k", lambda x: F.length(x) == 1)) / many).otherwise(0.0).alias("single_letter_share"),
+        share(F.aggregate("k", F.lit(0), lambda s, x: s + F.when((F.length(x) >= 40) & ~F.contains(x, F.lit("<")) & ~F.contains(x, F.lit("|")), F.length(x)).otherwise(0))).alias("long_token_share"),
+        share(_covered(t, r"([^\s.])\1{3,}|(\p{L}{2})\2{2,}|\.{8,}")).alias("run_share"),
+        share(_covered(t, r"[\x{fffd}¤§\x{80}-\x{9f}]|Ã(?=[a-z\s])")).alias("garbled_share"),
+        F.when(n >= 8, F.size(F.array_distinct(four)) / n).otherwise(1.0).alias("distinct_share"),
+        F.when(n > 0, F.size(F.filter("w", lambda x: x.isin(*common))) / n).otherwise(0.0).alias("common_share"),
+        F.when(t.rlike(r"<script|function|\d\d:\d\d:\d\d|[0-9a-f]{2} [0-9a-f]{2} [0-9a-f]{2} "), _count(t, r"(?m)^\s*(?:[0-9a-fA-F]{2}\s){8,16}|^\s*\d{4}-\d\d-\d\d[T ]\d\d:\d\d:\d\d\S*\s+\p{Lu}{4,}|function\s*\(|</?script")).otherwise(0).alias("machine_lines"),
     )
 
 
