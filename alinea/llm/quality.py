@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from functools import cache
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from alinea.functions.clean import BLANK, strip
 
@@ -27,7 +32,80 @@ _PLAIN_TAG = r"</?(?:p|P|br|BR|b|B|i|I|u|em|strong|span|h[1-6])(?:\s[^<>]{0,200}
 #: A line break inside a sentence: the next line goes on in lower case and is no item or named field.
 _WRAP = r"(?<=[\p{L}\p{N},’'\-])[ \t\x{a0}]*\r?\n(?=\p{Ll}(?![).])[^:;|\t\r\n]{0,60}(?:[\r\n.,;!?]|.{60}|$))"
 #: Signs of programs, of drawing and of decoding errors; letters, digits and usual punctuation aren't among them.
-_SYMBOL = r"[#$&+<=>@\\^_`{|}~¢£¤¥¦§¨©¬\x{ad}®¯±²³´µ¶¸¹»«¼½¾×÷\x{80}-\x{9f}\x{2030}-\x{2038}\x{2190}-\x{2bff}\x{e000}-\x{f8ff}\x{fffd}]"
+_SYMBOLS = "#$&+<=>@\\^_`{|}~¢£¤¥¦§¨©¬\xad®¯±²³´µ¶¸¹»«¼½¾×÷"
+_SYMBOL_RANGES = ((0x80, 0x9F), (0x2030, 0x2038), (0x2190, 0x2BFF), (0xE000, 0xF8FF), (0xFFFD, 0xFFFD))
+_BLANKS = "\t\n\v\f\r \x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+_PLAIN, _BLANK, _SYMBOL, _LETTER = 0, 1, 2, 3
+#: Characters of texts that are measured in one go.
+_CHUNK = 1 << 22
+
+
+@cache
+def _kinds() -> np.ndarray:
+    """The kind of each code point, once per Python worker."""
+    table = np.zeros(0x110000, dtype=np.uint8)
+    table[[c for c in range(0x3000) if chr(c).isalpha()]] = _LETTER
+    table[[ord(c) for c in _SYMBOLS]] = _SYMBOL
+    for low, high in _SYMBOL_RANGES:
+        table[low : high + 1] = _SYMBOL
+    table[[ord(c) for c in _BLANKS]] = _BLANK
+    return table
+
+
+def _sign_counts(texts: list[str]) -> np.ndarray:
+    """Per text: symbols, decoding errors, characters in runs, tokens, tokens of one sign, characters in long tokens.
+
+    All texts lie behind each other in one array of code points, each followed by a blank, so that
+    nothing reaches over the end of a text.
+    """
+    cp = np.frombuffer("".join(t + "\n" for t in texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    starts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])[:-1]]).astype(np.int64)
+    kind = _kinds()[cp]
+    blank = kind == _BLANK
+    per_text = lambda flag: np.add.reduceat(flag.astype(np.int32), starts)
+    of = lambda at: np.searchsorted(starts, at, side="right") - 1
+    add = lambda at, n: np.bincount(of(at), weights=n, minlength=len(texts)).astype(np.int64)
+
+    after = np.append(cp[1:], 10)
+    lone = (cp == 0xC3) & (((after >= 97) & (after <= 122)) | np.append(blank[1:], True))
+    errors = (cp == 0xFFFD) | (cp == 0xA4) | (cp == 0xA7) | ((cp >= 0x80) & (cp <= 0x9F)) | lone
+
+    # Runs of one character: four or more, of full stops eight or more.
+    begin = np.concatenate([[0], np.flatnonzero(cp[1:] != cp[:-1]) + 1])
+    size = np.diff(np.append(begin, len(cp)))
+    run = ((size >= 4) & (cp[begin] != 46) & ~blank[begin]) | ((size >= 8) & (cp[begin] == 46))
+    in_runs = add(begin[run], size[run])
+    # Two letters that come three times or more.
+    same = np.concatenate([[False], cp[2:] == cp[:-2], [False]])
+    edge = np.flatnonzero(same[1:] != same[:-1])
+    first, length = edge[::2], edge[1::2] - edge[::2]
+    pair = (length >= 4) & (kind[first] == _LETTER) & (kind[np.minimum(first + 1, len(cp) - 1)] == _LETTER) & (cp[first] != cp[np.minimum(first + 1, len(cp) - 1)])
+    in_runs = in_runs + add(first[pair], length[pair] + 2)
+
+    head = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]]))
+    tail = np.flatnonzero(~blank & np.append(blank[1:], True))
+    width = tail - head + 1
+    framing = np.concatenate([[0], np.cumsum((cp == 60) | (cp == 124))])
+    long = (width >= 40) & (framing[tail + 1] == framing[head])
+    return np.stack([per_text(kind == _SYMBOL), per_text(errors), in_runs, add(head, np.ones(len(head))), add(head, (width == 1).astype(float)), add(head[long], width[long])], axis=1)
+
+
+_SIGNS = ["n_symbols", "n_errors", "n_in_runs", "n_tokens", "n_single", "n_in_long"]
+
+
+@F.pandas_udf(T.StructType([T.StructField(n, T.LongType()) for n in _SIGNS]))
+def sign_counts(text: pd.Series) -> pd.DataFrame:
+    """The counts of ``_sign_counts`` for a batch of texts, worked out in chunks of bounded size."""
+    out, part, chars = [], [], 0
+    for t in text:
+        part.append(t or "")
+        chars += len(part[-1])
+        if chars >= _CHUNK:
+            out.append(_sign_counts(part))
+            part, chars = [], 0
+    if part:
+        out.append(_sign_counts(part))
+    return pd.DataFrame(np.concatenate(out) if out else np.zeros((0, len(_SIGNS)), dtype=np.int64), columns=_SIGNS)
 
 
 def _count(c: Column, pattern: str) -> Column:
@@ -39,11 +117,6 @@ def _times(c: Column, part: str) -> Column:
     return F.floor((F.length(c) - F.length(F.replace(c, F.lit(part), F.lit("")))) / len(part)).cast("int")
 
 
-def _covered(c: Column, pattern: str) -> Column:
-    """How many characters the pattern covers."""
-    return F.length(c) - F.length(F.regexp_replace(c, pattern, ""))
-
-
 def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """``df`` with a column that later columns use many times but that is worked out once per row.
 
@@ -92,7 +165,7 @@ def line_measures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """
     unwrapped = F.regexp_replace(F.regexp_replace(F.col(text), _PLAIN_TAG, "\n"), _WRAP, " ")
     lines = docs.select(doc_id, F.explode(F.split(unwrapped, r"\r\n|\r|\n")).alias("raw"))
-    lines = _once(lines, "line", strip(F.col("raw"))).drop("raw").filter("line <> ''")
+    lines = _once(lines, "line", F.btrim("raw", F.lit(_BLANKS + "\u200b\ufeff"))).drop("raw").filter("line <> ''")
     lines = _once(lines, "f", line_counts(F.col("line")))
     lines = _once(lines, "class", line_class(F.col("line"), F.col("f"))).withColumn("n", F.length("line").cast("long"))
     of = lambda c: F.sum(F.when(F.col("class") == c, F.col("n")).otherwise(0))
@@ -107,27 +180,25 @@ def line_measures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def text_measures(docs: DataFrame, doc_id: str, text: str, common_words: list[str]) -> DataFrame:
-    """One row per text: words, their mean length and the shares that the rules use."""
+    """One row per text: words, their mean length and the shares that the rules use.
+
+    Words are measured in the JVM; counts over single signs go through arrays of code points, whole
+    Arrow batches at a time.
+    """
     t = F.col("t")
-    base = docs.select(doc_id, F.col(text).alias("t"))
+    base = docs.select(doc_id, F.col(text).alias("t")).withColumn("s", sign_counts("t"))
     base = _once(base, "w", F.filter(F.split(F.lower("t"), r"[^\p{L}\p{M}\p{N}]+"), lambda x: x != ""))
     n, n_chars = F.size("w"), F.length("t")
     four = F.transform("w", lambda x, i: F.xxhash64(x, F.get(F.col("w"), i + 1), F.get(F.col("w"), i + 2), F.get(F.col("w"), i + 3)))
     common = sorted(set(common_words)) or [""]
-    share = lambda x: F.when(n_chars > 0, x / n_chars).otherwise(0.0)
     letters = F.aggregate("w", F.lit(0), lambda s, x: s + F.length(x))
-    tokens = _once(base, "k", F.split(F.regexp_replace("t", r"\s+", " "), " "))
-    many = F.size(F.filter("k", lambda x: x != ""))
-    return tokens.select(
-        doc_id, n_chars.alias("n_chars"), n.alias("n_words"),
-        F.when(n > 0, letters / n).otherwise(0.0).alias("mean_word_length"),
-        share(_covered(t, _SYMBOL)).alias("symbol_share"),
-        F.when(many > 0, F.size(F.filter("k", lambda x: F.length(x) == 1)) / many).otherwise(0.0).alias("single_letter_share"),
-        share(F.aggregate("k", F.lit(0), lambda s, x: s + F.when((F.length(x) >= 40) & ~F.contains(x, F.lit("<")) & ~F.contains(x, F.lit("|")), F.length(x)).otherwise(0))).alias("long_token_share"),
-        share(_covered(t, r"([^\s.])\1{3,}|(\p{L}{2})\2{2,}|\.{8,}")).alias("run_share"),
-        share(_covered(t, r"[\x{fffd}¤§\x{80}-\x{9f}]|Ã(?=[a-z\s])")).alias("garbled_share"),
+    share = lambda x, of: F.when(of > 0, x / of).otherwise(0.0)
+    return base.select(
+        doc_id, n_chars.alias("n_chars"), n.alias("n_words"), share(letters, n).alias("mean_word_length"),
+        share(F.col("s.n_symbols"), n_chars).alias("symbol_share"), share(F.col("s.n_single"), F.col("s.n_tokens")).alias("single_letter_share"),
+        share(F.col("s.n_in_long"), n_chars).alias("long_token_share"), share(F.col("s.n_in_runs"), n_chars).alias("run_share"), share(F.col("s.n_errors"), n_chars).alias("garbled_share"),
         F.when(n >= 8, F.size(F.array_distinct(four)) / n).otherwise(1.0).alias("distinct_share"),
-        F.when(n > 0, F.size(F.filter("w", lambda x: x.isin(*common))) / n).otherwise(0.0).alias("common_share"),
+        share(F.size(F.filter("w", lambda x: x.isin(*common))), n).alias("common_share"),
         F.when(t.rlike(r"<script|function|\d\d:\d\d:\d\d|[0-9a-f]{2} [0-9a-f]{2} [0-9a-f]{2} "), _count(t, r"(?m)^\s*(?:[0-9a-fA-F]{2}\s){8,16}|^\s*\d{4}-\d\d-\d\d[T ]\d\d:\d\d:\d\d\S*\s+\p{Lu}{4,}|function\s*\(|</?script")).otherwise(0).alias("machine_lines"),
     )
 
