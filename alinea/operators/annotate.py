@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from alinea.workspace import materialize
+
 #: Takes a batch of records (dicts with a ``key``) and returns the reply per key.
 Backend = Callable[[Sequence[dict]], dict[str, object]]
 
@@ -50,9 +52,20 @@ def with_retry(call: Callable[[], object], attempts: int = 5, least: float = 2.0
 
 
 def numbered_batches(df: DataFrame, part: str, order: str, size: int) -> DataFrame:
-    """``df`` with ``batch``: rows of one part in order, ``size`` to a batch, none across parts."""
-    w = Window.partitionBy(part).orderBy(order)
-    return df.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size).cast("int"))
+    """``df`` with ``batch``: rows of one part in order, ``size`` to a batch, none across parts.
+
+    Rows are spread by ranges of part and order, numbered within their range, and moved on by the
+    counts of the ranges before, so that a part that holds most rows is numbered by many tasks. A
+    null part is a part; ``order`` should be unique, else ties are numbered in any order.
+    """
+    spread = materialize(df.repartitionByRange(part, order).withColumn("_range", F.spark_partition_id()), "ranges")
+    before = Window.partitionBy("_part").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = spread.groupBy(F.col(part).alias("_part"), "_range").agg(F.count("*").alias("_n"))
+    counts = counts.select("_part", F.col("_range").alias("_r"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    here = spread.withColumn("_no", F.row_number().over(Window.partitionBy("_range", part).orderBy(order)))
+    joined = here.join(counts, (F.col("_range") == F.col("_r")) & F.col(part).eqNullSafe(F.col("_part")))
+    batch = F.floor((F.col("_before") + F.col("_no") - 1) / size).cast("int")
+    return joined.withColumn("batch", batch).select(*df.columns, "batch")
 
 
 def todo(df: DataFrame, done: DataFrame, key: str) -> DataFrame:

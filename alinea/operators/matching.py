@@ -25,9 +25,9 @@ def tfidf(left: DataFrame, right: DataFrame) -> DataFrame:
     Texts without words have no vector.
     """
     both = materialize(left.withColumn("side", F.lit("l")).unionByName(right.withColumn("side", F.lit("r"))), "terms")
-    total = both.select("side", "doc_id").distinct().agg(F.count("*").alias("total"))
-    df = both.groupBy("term").agg(F.count_distinct("side", "doc_id").alias("df"))
-    idf = df.crossJoin(F.broadcast(total)).select("term", "df", (F.log((1.0 + F.col("total")) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
+    total = both.select("side", "doc_id").distinct().count()
+    df = both.select("side", "doc_id", "term").distinct().groupBy("term").agg(F.count("*").alias("df"))
+    idf = df.withColumn("idf", F.log(F.lit(1.0 + total) / (1.0 + F.col("df"))) + 1.0)
     raw = both.join(idf, "term").withColumn("raw", (1.0 + F.log(F.col("n").cast("double"))) * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("side", "block", "doc_id")))
     return raw.select("side", "block", "doc_id", "term", "df", (F.col("raw") / norm).alias("weight"))

@@ -14,6 +14,8 @@ END_OF_TIME = "9999-12-31 00:00:00"
 def _live_spans(targets: DataFrame, keys: Sequence[str], loaded: str, deleted: str) -> DataFrame:
     """One row per key: when it was first loaded, and its disjoint spans of life in order of time."""
     rows = targets.select(*keys, F.col(loaded).alias("lo"), F.coalesce(F.col(deleted), F.lit(END_OF_TIME).cast(targets.schema[loaded].dataType)).alias("hi"))
+    # A row that was never loaded, or deleted before it was loaded, never lived and joins no spans.
+    rows = rows.withColumn("hi", F.when(F.col("hi") > F.col("lo"), F.col("hi")))
     # Repeated rows fall away by partial aggregation before the shuffle.
     spans = rows.groupBy(*keys, "lo").agg(F.max("hi").alias("hi"))
     before = Window.partitionBy(*keys).orderBy("lo").rowsBetween(Window.unboundedPreceding, -1)

@@ -150,6 +150,30 @@ judged AS (
 o AS (SELECT ref_table, row_id, CASE WHEN n = 0 THEN 'missing' WHEN loaded > 0 THEN 'deleted' ELSE 'late' END AS kind, strftime(t, '%Y-%m') AS period FROM judged WHERE live = 0)
 """
 
+def _items(v: str) -> str:
+    """Places and elements of a JSON list; any other value as its only element."""
+    return f"unnest(CASE WHEN json_type({v}) = 'ARRAY' THEN list_transform(range(CAST(json_array_length({v}) AS BIGINT)), lambda i: {{'no': CAST(i AS INTEGER), 'v': json_extract({v}, CAST(i AS BIGINT))}}) ELSE [{{'no': 0, 'v': {v}}}] END)"
+
+
+_TEXT = sql.present("coalesce(json_extract_string(h.v, '$.nome_habilidade'), CASE WHEN json_type(h.v) = 'VARCHAR' THEN json_extract_string(h.v, '$') END)")
+_OPENING = "(?i)^[^\\p{L}\\p{N}]*(E[IFM][\\x{200b}\\-.]?[0-9]{2}[\\x{200b}\\x{00a0} \\-.]?[A-Z]{2,3}[\\x{200b}\\x{00a0} \\-.]?[0-9]{2,7})(?:[^\\p{L}\\p{N}]|$)"
+_NESTED = f"""
+WITH a AS (SELECT raw_id, regexp_replace(payload, '^\\x{{feff}}', '') AS p FROM bncc_fundamental),
+b AS (SELECT raw_id, CASE WHEN json_valid(p) AND json_type(p) = 'VARCHAR' THEN json_extract_string(p, '$') ELSE p END AS p FROM a),
+c AS (SELECT raw_id, CAST(p AS JSON) AS j FROM b WHERE json_valid(p)),
+e AS (SELECT raw_id, unnest(json_keys(j)) AS discipline, j FROM c WHERE json_type(j) = 'OBJECT'),
+e2 AS (SELECT raw_id, discipline, {_items("json_extract(j, '$.' || discipline)")} AS x FROM e),
+y AS (SELECT raw_id, discipline, {_items("json_extract(x.v, '$.ano')")} AS y FROM e2 WHERE json_type(x.v) = 'OBJECT' AND json_exists(x.v, '$.ano')),
+yy AS (SELECT raw_id, discipline, y.no AS year_no, y.v FROM y WHERE json_type(y.v) <> 'NULL'),
+u AS (SELECT raw_id, discipline, year_no, {_items("json_extract(v, '$.unidades_tematicas')")} AS u FROM yy WHERE json_type(v) = 'OBJECT' AND json_exists(v, '$.unidades_tematicas')),
+uu AS (SELECT raw_id, discipline, year_no, u.no AS unit_no, u.v FROM u WHERE json_type(u.v) <> 'NULL'),
+o AS (SELECT raw_id, discipline, year_no, unit_no, {_items("json_extract(v, '$.objeto_conhecimento')")} AS o FROM uu WHERE json_type(v) = 'OBJECT' AND json_exists(v, '$.objeto_conhecimento')),
+oo AS (SELECT raw_id, discipline, year_no, unit_no, o.no AS object_no, o.v FROM o WHERE json_type(o.v) <> 'NULL'),
+hp AS (SELECT raw_id, discipline, year_no, unit_no, object_no, v FROM oo WHERE json_type(v) = 'OBJECT' UNION ALL SELECT raw_id, discipline, year_no, unit_no, -1, v FROM uu WHERE json_type(v) = 'OBJECT'),
+h AS (SELECT raw_id, discipline, year_no, unit_no, object_no, {_items("json_extract(v, '$.habilidades')")} AS h FROM hp WHERE json_exists(v, '$.habilidades')),
+t AS (SELECT raw_id, discipline, year_no, unit_no, object_no, h.no AS skill_no, {_TEXT} AS text FROM h)
+"""
+
 SQL = {
     "p3_found": _TREE + "SELECT code, root_code, depth FROM r",
     "p3_paths": _TREE + "SELECT code, depth, array_to_string(path, ' > ') AS full_path FROM r",
@@ -165,4 +189,9 @@ j AS (SELECT row_id, t, first FROM refs LEFT JOIN m USING (h, s) WHERE refs.h IS
       UNION ALL SELECT row_id, t, first FROM refs LEFT JOIN mh USING (h) WHERE refs.h IS NOT NULL AND refs.s IS NULL
       UNION ALL SELECT row_id, t, first FROM refs LEFT JOIN ms USING (s) WHERE refs.h IS NULL AND refs.s IS NOT NULL)
 SELECT row_id, CASE WHEN first IS NULL THEN 'missing' ELSE 'late' END AS kind, strftime(t, '%Y-%m') AS period FROM j WHERE first IS NULL OR first > t""",
+    "p6_found": _NESTED + f"SELECT raw_id, discipline, year_no, unit_no, object_no, skill_no, coalesce({sql.code(f"regexp_extract(text, '{_OPENING}', 1)")}, '') AS bncc_code FROM t WHERE text IS NOT NULL",
+    "p6_years": _NESTED + "SELECT raw_id, discipline, year_no FROM yy",
+    "p6_units": _NESTED + "SELECT raw_id, discipline, year_no, unit_no, CASE WHEN json_type(v) = 'OBJECT' THEN json_extract_string(v, '$.nome_unidade') END AS unit_name FROM uu",
+    "p6_objects": _NESTED + "SELECT raw_id, discipline, year_no, unit_no, object_no, CASE WHEN json_type(v) = 'OBJECT' THEN json_extract_string(v, '$.nome_objeto') END AS object_name FROM oo",
+    "p6_year_labels": _NESTED + f"SELECT raw_id, discipline, year_no, l.no AS label_no, json_extract_string(l.v, '$') AS label FROM (SELECT raw_id, discipline, year_no, {_items("json_extract(v, '$.nome_ano')")} AS l FROM yy WHERE json_type(v) = 'OBJECT' AND json_exists(v, '$.nome_ano')) WHERE json_type(l.v) <> 'NULL'",
 }
