@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -38,8 +39,8 @@ def greedy_near_duplicates(df: DataFrame, group: str, text: str, order: str, lea
     Rows go in the order of ``order``; where ``protected`` (a boolean column) holds they are kept
     first, whatever they resemble. Texts are compared in lower case without outer blanks; null texts
     count as empty, and the two empty texts of a group are equal. Which row survives depends on
-    those before it, so a group is worked through in one task: exact copies are folded before, and a
-    group of more than ``max_group`` different texts raises an error instead of being cut.
+    those before it, so a group is walked through in order by one task, after exact copies have been
+    folded; a group that keeps more than ``max_group`` texts raises an error instead of being cut.
     """
     low = F.lower(F.trim(F.coalesce(F.col(text), F.lit(""))))
     guard = F.col(protected) if protected else F.lit(False)
@@ -48,20 +49,25 @@ def greedy_near_duplicates(df: DataFrame, group: str, text: str, order: str, lea
     kind = dict(df.dtypes)
     schema = f"{group} {kind[group]}, _text string, _keep boolean"
 
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(pdf) > max_group:
-            raise ValueError(f"a group has more than {max_group} different texts")
-        pdf = pdf.sort_values("_first", kind="stable", na_position="first")
-        kept = list(pdf.loc[pdf["_any_guard"], "_text"])
-        keep = []
-        for text_, guarded in zip(pdf["_text"], pdf["_any_guard"]):
-            fresh = not guarded and not any(similar(text_, k, least) for k in kept)
-            keep.append(fresh)
-            if fresh:
-                kept.append(text_)
-        return pd.DataFrame({group: pdf[group], "_text": pdf["_text"], "_keep": keep})
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, kept = object(), []
+        for pdf in batches:
+            keep = []
+            for g, t, guarded in zip(pdf[group], pdf["_text"], pdf["_any_guard"]):
+                g = None if g is None or g != g else g
+                if g != current:
+                    current, kept = g, []
+                fresh = not guarded and not any(similar(t, k, least) for k in kept)
+                keep.append(fresh)
+                if fresh or guarded:
+                    kept.append(t)
+                if len(kept) > max_group:
+                    raise ValueError(f"a group keeps more than {max_group} different texts")
+            yield pd.DataFrame({group: pdf[group], "_text": pdf["_text"], "_keep": keep})
 
-    judged = firsts.groupBy(group).applyInPandas(walk, schema)
+    # A group's rows lie behind each other in one partition, so only its kept texts are held at a time.
+    ordered = firsts.repartition(group).sortWithinPartitions(group, F.desc("_any_guard"), "_first")
+    judged = ordered.select(group, "_text", "_any_guard").mapInPandas(walk, schema)
     on = F.col("a." + group).eqNullSafe(F.col("j." + group)) & (F.col("a._text") == F.col("j._text"))
     joined = rows.alias("a").join(judged.alias("j"), on).join(firsts.alias("f"), F.col("a." + group).eqNullSafe(F.col("f." + group)) & (F.col("a._text") == F.col("f._text")))
     kept = joined.filter(F.col("a._guard") | (F.col("j._keep") & (F.col("a." + order) == F.col("f._first"))))
