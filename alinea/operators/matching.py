@@ -1,7 +1,11 @@
-"""TF-IDF vectors, exact cosine candidates above a threshold, and tiers."""
+"""TF-IDF vectors, exact cosine candidates above a threshold or without one, and tiers."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,6 +77,127 @@ def cosine_top(vectors: DataFrame, k: int, least: float) -> DataFrame:
     return scored.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k)
 
 
+def _texts(vectors: DataFrame, side: str) -> DataFrame:
+    """(block, doc_id, text_id, terms, weights): one row per document; equal vectors have equal text_id."""
+    entries = F.array_sort(F.collect_list(F.struct(F.xxhash64("term").alias("term"), "weight")))  # one entry per term of the text
+    docs = vectors.filter(F.col("side") == side).groupBy("block", "doc_id").agg(entries.alias("e"))
+    # Norms of equal texts may differ in the last bit, as their terms are summed in any order.
+    text_id = F.unhex(F.md5(F.array_join(F.transform("e", lambda e: F.concat_ws(":", e["term"].cast("string"), F.floor(e["weight"] * 1e9 + 0.5).cast("string"))), " ")))
+    return docs.select("block", "doc_id", text_id.alias("text_id"), F.col("e.term").alias("terms"), F.col("e.weight").alias("weights"))
+
+
+def _nearest(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The ``k`` nearest of some right texts for each of some left texts, by similarity, then first id.
+
+    Terms are added rarest first. Once the k-th sum so far is above all that the terms left can give,
+    no text unseen can enter; what is left of the seen ones is worked out on whole vectors.
+    """
+    slack = 2e-6  # similarities are compared when rounded to 6 places
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        def flat(t: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+            a = t.column(name).combine_chunks()
+            a = a.chunk(0) if isinstance(a, pa.ChunkedArray) else a
+            return a.offsets.to_numpy() - a.offsets[0].as_py(), a.flatten().to_numpy()
+
+        if not left.num_rows or not right.num_rows:
+            return pa.table({c: pa.array([], t) for c, t in (("block", pa.string()), ("left_text", pa.binary()), ("right_text", pa.binary()), ("first_id", pa.string()), ("similarity", pa.float64()))})
+        right = right.sort_by("first_id")
+        ends, terms = flat(right, "terms")
+        weights = flat(right, "weights")[1]
+        sizes = np.diff(ends)
+        known, terms = np.unique(terms, return_inverse=True)
+        order = np.argsort(terms, kind="stable")
+        rows, values = np.repeat(np.arange(len(sizes)), sizes)[order], weights[order]
+        starts = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=len(known)))])
+        most = np.maximum.reduceat(values, starts[:-1])
+        l_ends, l_terms = flat(left, "terms")
+        l_weights = flat(left, "weights")[1]
+        place = np.minimum(np.searchsorted(known, l_terms), len(known) - 1)
+        hit = known[place] == l_terms
+        sums, mine = np.zeros(len(sizes)), np.zeros(len(known))
+        found, of, similar = [], [], []
+        for i in range(left.num_rows):
+            at = slice(l_ends[i], l_ends[i + 1])
+            t, x = place[at][hit[at]], l_weights[at][hit[at]]
+            by = np.argsort(starts[t + 1] - starts[t], kind="stable")
+            t, x = t[by], x[by]
+            rest = np.minimum(np.cumsum((x * most[t])[::-1])[::-1], np.sqrt(np.cumsum((x * x)[::-1])[::-1]))
+            seen, floor, left_over = np.empty(0, dtype=np.int64), -1.0, 0.0
+            for j in range(len(t)):
+                if len(seen) >= k:
+                    floor = np.partition(sums[seen], len(seen) - k)[len(seen) - k]
+                    if floor - slack > rest[j]:
+                        left_over = rest[j]
+                        break
+                p = slice(starts[t[j]], starts[t[j] + 1])
+                new = rows[p][sums[rows[p]] == 0.0]
+                sums[rows[p]] += x[j] * values[p]
+                seen = np.concatenate([seen, new])
+            else:
+                floor = np.partition(sums[seen], len(seen) - k)[len(seen) - k] if len(seen) >= k else -1.0
+            few = seen[sums[seen] + left_over >= floor - slack]
+            sums[seen] = 0.0
+            if len(few):
+                mine[t] = x
+                n = sizes[few]
+                first = np.concatenate([[0], np.cumsum(n)[:-1]])
+                inner = np.arange(n.sum()) + np.repeat(ends[few] - first, n)
+                exact = np.add.reduceat(weights[inner] * mine[terms[inner]], first)
+                mine[t] = 0.0
+                exact = np.floor(exact * 1e6 + 0.5) / 1e6
+                best = np.lexsort((few, -exact))[:k]
+                few, exact = few[best], exact[best]
+            else:
+                exact = np.empty(0)
+            if len(few) < k:  # texts without a common term have similarity 0
+                more = np.setdiff1d(np.arange(min(len(sizes), k + len(few))), few)[: k - len(few)]
+                few, exact = np.concatenate([few, more]), np.concatenate([exact, np.zeros(len(more))])
+                best = np.lexsort((few, -exact))
+                few, exact = few[best], exact[best]
+            found.append(few)
+            of.append(np.full(len(few), i))
+            similar.append(exact)
+        a, b = pa.array(np.concatenate(of)), pa.array(np.concatenate(found))
+        return pa.table({"block": left.column("block").take(a), "left_text": left.column("text_id").take(a), "right_text": right.column("text_id").take(b), "first_id": right.column("first_id").take(b), "similarity": pa.array(np.concatenate(similar))})
+
+    return run
+
+
+def cosine_nearest(vectors: DataFrame, k: int, left_shard: int = 1 << 15, right_shard: int = 1 << 16) -> DataFrame:
+    """(left_id, right_id, similarity, place): the ``k`` nearest right texts of every left text, without a floor.
+
+    Equal texts are compared once. Every shard of left texts meets every shard of right texts of its
+    block in a task of bounded size, which gives the nearest of that shard; the nearest of all follow
+    from these. Lists are shorter than ``k`` only where the block has fewer right texts. Terms are
+    compared by 64-bit hashes. Similarities are rounded to 6 places; ties go by right_id.
+    """
+    v = materialize(vectors, "vectors")
+    spark = v.sparkSession
+    l, r = materialize(_texts(v, "l"), "left"), materialize(_texts(v, "r"), "right")
+    left = materialize(l.groupBy("block", "text_id").agg(F.first(F.struct("terms", "weights")).alias("e")).select("block", "text_id", "e.*"), "left_texts")
+    right = materialize(r.groupBy("block", "text_id").agg(F.first(F.struct("terms", "weights")).alias("e"), F.min("doc_id").alias("first_id")).select("block", "text_id", "first_id", "e.*"), "right_texts")
+    n, m = left.count(), right.count()
+    lefts = max(1, -(-n // left_shard), min(2 * spark.sparkContext.defaultParallelism, n // 1024))
+    rights = max(1, -(-m // right_shard))
+    shard = lambda parts: F.pmod(F.xxhash64("text_id"), F.lit(parts)).cast("int")
+    every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    keys = ["block", "ls", "rs"]
+    left = left.withColumn("ls", shard(lefts)).withColumn("rs", every(rights)).repartition(lefts * rights, *keys)
+    right = right.withColumn("rs", shard(rights)).withColumn("ls", every(lefts)).repartition(lefts * rights, *keys)
+    near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_nearest(k), "block string, left_text binary, right_text binary, first_id string, similarity double")
+    near = materialize(near, "near")
+    best = Window.partitionBy("block", "left_text").orderBy(F.desc("similarity"), "first_id")
+    near = near.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k).drop("place", "first_id")
+    # Of equal right texts no more than the first k can be in a list.
+    ids = r.select("block", F.col("text_id").alias("right_text"), F.col("doc_id").alias("right_id"))
+    ids = ids.withColumn("place", F.row_number().over(Window.partitionBy("block", "right_text").orderBy("right_id"))).filter(F.col("place") <= k).drop("place")
+    by_row = Window.partitionBy("block", "left_text").orderBy(F.desc("similarity"), "right_id")
+    lists = near.join(ids, ["block", "right_text"]).withColumn("place", F.row_number().over(by_row)).filter(F.col("place") <= k)
+    of = l.select("block", F.col("text_id").alias("left_text"), F.col("doc_id").alias("left_id"))
+    return of.join(materialize(lists, "lists"), ["block", "left_text"]).select("left_id", "right_id", "similarity", "place")
+
+
 def auto_tier(similarity: Column, merge: float = 0.92, regional: float = 0.75, link: float = 0.5) -> Column:
     """Tier by similarity alone: the deterministic stand-in for a model's judgement below ``merge``."""
     return F.when(similarity >= merge, "merge").when(similarity >= regional, "link_regional").when(similarity >= link, "link").otherwise("none")

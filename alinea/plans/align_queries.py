@@ -11,7 +11,7 @@ from alinea.operators import annotate, dedup, matching, metrics, projection, sco
 from alinea.plans import sql
 from alinea.sources.tables import table
 
-#: Similarity from which a component is a candidate match.
+#: Similarity from which the SQL of the candidate matches lists them; the queries have no floor.
 LEAST = 0.6
 
 
@@ -216,12 +216,14 @@ def tfidf_weights(s: SparkSession, d: str) -> DataFrame:
 
 
 def tfidf_topk(s: SparkSession, d: str) -> DataFrame:
-    return matching.cosine_top(_vectors(s, d), 20, LEAST)
+    return matching.cosine_nearest(_vectors(s, d), 20)
 
 
 def auto_merge(s: SparkSession, d: str) -> DataFrame:
-    best = matching.cosine_top(_vectors(s, d), 1, LEAST)
-    return best.select(F.col("left_id").alias("bncc_component_id"), F.col("right_id").alias("cc_component_id"), "similarity", matching.auto_tier(F.col("similarity")).alias("match_tier"))
+    """The nearest component and its tier for every left component; those without words or a counterpart have tier none."""
+    best = matching.cosine_nearest(_vectors(s, d), 1).withColumnRenamed("left_id", "bncc_component_id")
+    known = _left(s, d).filter("element is not null").select(id_text(F.col("element")).alias("bncc_component_id")).distinct()
+    return known.join(best, "bncc_component_id", "left").select("bncc_component_id", F.col("right_id").alias("cc_component_id"), "similarity", matching.auto_tier(F.col("similarity")).alias("match_tier"))
 
 
 def cosine_topk_blocked(s: SparkSession, d: str) -> DataFrame:

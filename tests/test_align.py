@@ -89,6 +89,42 @@ def test_cosine_prefix_is_exact(spark):
     assert {(x["left_id"], x["right_id"]) for x in got.collect()} == want and want
 
 
+def test_cosine_nearest_has_no_floor(spark):
+    import numpy as np
+
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(30)] + ["the"] * 20
+    text = lambda: " ".join(rng.choice(words) for _ in range(rng.randrange(2, 9)))
+    l = spark.createDataFrame([(f"l{i:02}", text()) for i in range(40)] + [("lx", None), ("ly", ""), ("lz", "unheard things"), ("lzz", "unheard things")], "i string, t string")
+    r = [(f"r{i:02}", text()) for i in range(60)]
+    r = spark.createDataFrame(r + [(f"s{i:02}", r[3][1]) for i in range(12)], "i string, t string")
+    both = lambda: matching.tfidf(matching.term_counts(l, "i", "t"), matching.term_counts(r, "i", "t"))
+    m = both().toPandas().pivot_table(index=["side", "doc_id"], columns="term", values="weight", fill_value=0.0)
+    sims = np.floor(m.loc["l"].to_numpy() @ m.loc["r"].to_numpy().T * 1e6 + 0.5) / 1e6
+    for k, shards in ((1, (1 << 15, 1 << 16)), (8, (1 << 15, 1 << 16)), (8, (7, 11))):
+        want = {}
+        for i, a in enumerate(m.loc["l"].index):
+            want[a] = [(b, s) for s, b in sorted((-s, b) for s, b in zip(sims[i], m.loc["r"].index))[:k]]
+        got = {}
+        for x in sorted(matching.cosine_nearest(both(), k, *shards).collect(), key=lambda x: x["place"]):
+            got.setdefault(x["left_id"], []).append((x["right_id"], -x["similarity"]))
+        assert got == want and len(got) == 42
+    assert [s for _, s in got["lz"]] == [0] * 8
+
+
+def test_auto_merge_has_every_tier_and_component(spark, monkeypatch):
+    from alinea.plans import align_queries
+
+    ids = [f"00000000-0000-4000-8000-00000000000{i}" for i in range(5)]
+    tables = {
+        "bncc_components": spark.createDataFrame([(0, "EF01MA01", ids[0], "count coins"), (1, "EF01MA01", ids[1], "count big coins"), (2, "EF01MA01", ids[2], "sing songs"), (3, "EF01MA01", ids[3], None)], "row_id long, habilidade_code string, component_id string, description string"),
+        "cc_components_full": spark.createDataFrame([(0, ids[4], ids[4], "lc", "count coins")], "row_id long, standard_id string, component_id string, source string, description string"),
+    }
+    monkeypatch.setattr(align_queries, "table", lambda s, d, name, *columns: tables[name].select(*columns))
+    got = {r["bncc_component_id"]: (r["cc_component_id"], r["match_tier"]) for r in align_queries.auto_merge(spark, "").collect()}
+    assert got == {ids[0]: (ids[4], "merge"), ids[1]: (ids[4], "none"), ids[2]: (ids[4], "none"), ids[3]: (None, "none")}
+
+
 def test_documents_and_search(spark, rows):
     skills = spark.createDataFrame([("A", "EF", "1º", "Arte", "Ler mapas"), ("B", "EF", "2º", "Arte", "Ver simetria")], "code string, stage string, grade string, subject string, description_pt string")
     comps = spark.createDataFrame([("A", "c1", "d", "none", "x"), ("A", "c2", "d", "merge", "y")], "code string, id string, description string, match_tier string, cc_component_id string")
