@@ -59,12 +59,14 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int
     return out
 
 
-def _budgets(spark_totals: DataFrame, targets: DataFrame, total: int | None) -> pd.DataFrame:
+def _budgets(spark_totals: DataFrame, targets: DataFrame, total: int | None, no_shortfall: bool = False) -> pd.DataFrame:
     """One row per source: supply, budget, whole repeats and rest. Sources are as few as the targets."""
     t = targets.join(spark_totals, "source", "left").toPandas()
     t["tokens"] = t["tokens"].fillna(0).astype("int64")
     t["supply"] = t["tokens"] * t["max_repeats"]
-    if total is None:
+    if total is None and not no_shortfall:
+        total = int(t["tokens"].sum())
+    elif total is None:
         has = t[(t["tokens"] > 0) & (t["target_share"] > 0)]
         total = int((has["supply"] // has["target_share"]).min()) if len(has) else 0
     t["budget"] = [int(round(total * s)) for s in t["target_share"]]
@@ -74,13 +76,14 @@ def _budgets(spark_totals: DataFrame, targets: DataFrame, total: int | None) ->
     return t
 
 
-def plan_mixture(docs: DataFrame, targets: DataFrame, item: str, size: str, total: int | None = None, seed: int = 1) -> tuple[DataFrame, DataFrame]:
+def plan_mixture(docs: DataFrame, targets: DataFrame, item: str, size: str, total: int | None = None, seed: int = 1, no_shortfall: bool = False) -> tuple[DataFrame, DataFrame]:
     """(mixture, shares): which documents are used how often, and what each source reaches.
 
     ``docs`` has item, source and size; ``targets`` (a small table: at most 10,000 sources) has
-    source, target_share and max_repeats. The total size is ``total`` or, if not given, the largest at
-    which every source that has documents can hold its share within max_repeats; then only sources
-    without documents fall short. Each source gets its share of the total as its budget: as many
+    source, target_share and max_repeats. The total size is ``total`` or, if not given, the size of
+    all documents of the target sources; with ``no_shortfall`` it is the largest at which every source
+    that has documents can hold its share within max_repeats, however small the scarcest source makes
+    it. Each source gets its share of the total as its budget: as many
     whole passes over the source as fit, then documents whose sizes fill the rest exactly or as
     nearly as their sizes allow (``fit_budget``, on the counts of documents per exact size). A source
     that can't meet its budget within max_repeats is used max_repeats times in full and its shortfall
@@ -97,7 +100,7 @@ def plan_mixture(docs: DataFrame, targets: DataFrame, item: str, size: str, tota
     bucket = F.pmod(F.xxhash64(item, F.lit(seed)), F.lit(BUCKETS)).cast("int")
     wanted = materialize(wanted.select("source", F.col(item).alias("item"), F.col(size).cast("long").alias("size"), bucket.alias("bucket")), "sized")
     hist = materialize(wanted.groupBy("source", "size", "bucket").agg(F.count("*").alias("n")), "lengths")
-    budgets = _budgets(hist.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("tokens")), targets, total)
+    budgets = _budgets(hist.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("tokens")), targets, total, no_shortfall)
     known = spark.createDataFrame(budgets[["source", "passes", "rest"]], "source string, passes long, rest long")
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -70,10 +70,10 @@ def _source(c: str):
     return F.regexp_replace(F.lower(strip(null_if_blank(F.col(c)))), r"[\s\x{00a0}_\-]+", "_")
 
 
-def _mixture(spark: SparkSession, d: str, total: int | None = None) -> tuple[DataFrame, DataFrame]:
+def _mixture(spark: SparkSession, d: str, total: int | None = None, no_shortfall: bool = False) -> tuple[DataFrame, DataFrame]:
     docs = _sized(spark, d, "doc_id", "source").withColumn("source", _source("source"))
     targets = table(spark, d, "mix_targets").withColumn("source", _source("source"))
-    return mixing.plan_mixture(docs, targets, "doc_id", "tokens", total)
+    return mixing.plan_mixture(docs, targets, "doc_id", "tokens", total, no_shortfall=no_shortfall)
 
 
 def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
@@ -90,6 +90,11 @@ def p8_shares_fixed(spark: SparkSession, d: str) -> DataFrame:
     return _mixture(spark, d, total)[1]
 
 
+def p8_mixture_no_shortfall(spark: SparkSession, d: str) -> DataFrame:
+    """The largest mixture in which every source that has documents holds its share."""
+    return _mixture(spark, d, no_shortfall=True)[0].select("source", F.col("item").alias("doc_id"), F.col("size").alias("tokens"), "repeats")
+
+
 def _quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.quality(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", table(spark, d, "common_words"))
 
@@ -118,6 +123,7 @@ QUERIES = {
     "p8_mixture": p8_mixture,
     "p8_shares": p8_shares,
     "p8_shares_fixed": p8_shares_fixed,
+    "p8_mixture_no_shortfall": p8_mixture_no_shortfall,
     "p9_found": p9_found,
     "p9_measures": p9_measures,
 }

@@ -66,6 +66,17 @@ def test_fixed_total_with_shortfall(spark):
     assert {(r["item"], r["repeats"]) for r in mix if r["source"] == "b"} == {(3, 4)}
 
 
+def test_scarce_source_does_not_shrink_the_mixture(spark):
+    docs = [(i, "a", 10) for i in range(900)] + [(9000, "b", 10)]
+    targets = [("a", 0.75, 1), ("b", 0.25, 4)]
+    mix, shares = run(spark, docs, targets)
+    assert shares["a"]["reached"] == 6750 and shares["a"]["shortfall"] < 10
+    assert shares["b"]["budget"] == 2252 and shares["b"]["reached"] == 40 and shares["b"]["shortfall"] == 2212
+    assert len(mix) == 676 and [(r["item"], r["repeats"]) for r in mix if r["source"] == "b"] == [(9000, 4)]
+    mix, shares = run(spark, docs, targets, no_shortfall=True)
+    assert shares["a"]["reached"] == 120 and shares["b"]["shortfall"] == 0 and len(mix) == 13
+
+
 def test_equal_sizes_seed_and_empty(spark):
     docs = [(i, "a", 10) for i in range(5000)]
     mix, shares = run(spark, docs, [("a", 1.0, 1)], total=12345)
