@@ -59,6 +59,11 @@ def looks_cut(text: Column) -> Column:
     return end.rlike(_CUT) | end.rlike(r"[\p{L}\p{N}]$")
 
 
+def looks_open(text: Column) -> Column:
+    """True if a text ends in an ellipsis."""
+    return F.regexp_replace(F.regexp_replace(text, _TAG, " "), f"{BLANK}+$", "").rlike(_CUT)
+
+
 def subject_key(subject: Column, code: Column, stage: Column) -> Column:
     """The subject in comparable form; a missing one follows from the code. Null if neither tells."""
     letters = F.regexp_extract(code, "^(?:EI|EF|EM)[0-9]{2}([A-Z]+)", 1)
@@ -136,25 +141,38 @@ def repair_spelling(texts: DataFrame, text_id: str, words: str) -> DataFrame:
 
 
 def complete_cut_texts(keys: DataFrame, block: int = 6) -> DataFrame:
-    """(part, key, final): each text with the whole text that a cut one is the beginning of.
+    """(part, key, final): each text with the longer text that a cut one is the beginning of.
 
-    ``keys`` has one row (part, key, cut, n) per distinct text; only texts of the same part are
-    compared. A cut text needs ``block`` words or more. Of several whole texts that begin with it
-    the one with most records is taken, then the first by its words.
+    ``keys`` has one row (part, key, cut, open, n) per distinct text; only texts of the same part are
+    compared. Texts meet through their first ``block`` words, shorter ones through all their words.
+    Of several whole texts that begin with a cut one the one with most records is taken, then the
+    first by its words. Where no whole text does, texts that only lack closing punctuation (cut, but
+    not open, which an ellipsis is) complete it in the same way, if nothing longer completes them.
     """
-    opening = F.array_join(F.slice(F.split("key", " "), 1, block), " ")
-    whole = keys.filter("not cut").select("part", opening.alias("opening"), F.col("key").alias("longer"), "n")
-    cut = keys.filter(F.col("cut") & (F.size(F.split("key", " ")) >= block)).select("part", opening.alias("opening"), "key")
-    met = cut.join(whole, ["part", "opening"]).filter(F.col("longer").startswith(F.concat("key", F.lit(" "))))
-    best = met.groupBy("part", "key").agg(F.min_by("longer", F.struct(-F.col("n"), F.col("longer"))).alias("longer"))
-    return keys.join(best, ["part", "key"], "left").select("part", "key", F.coalesce("longer", "key").alias("final"))
+    words = F.split("key", " ")
+    opening = lambda n: F.array_join(F.slice(words, F.lit(1), n), " ")
+    size = F.least(F.size(words), F.lit(block))
+
+    def longer_texts(cut: DataFrame, longer: DataFrame) -> DataFrame:
+        lengths = longer.select("part", "key", "n", F.explode(F.sequence(F.lit(1), size)).alias("length"))
+        lengths = lengths.select("part", opening(F.col("length")).alias("opening"), "length", F.col("key").alias("longer"), "n")
+        met = cut.select("part", opening(size).alias("opening"), size.alias("length"), "key").join(lengths, ["part", "length", "opening"])
+        return met.filter(F.col("longer").startswith(F.concat("key", F.lit(" ")))).select("part", "key", "longer", "n")
+
+    best = F.min_by("longer", F.struct(-F.col("n"), F.col("longer"))).alias("longer")
+    by_whole = materialize(longer_texts(keys.filter("cut"), keys.filter("not cut")).groupBy("part", "key").agg(best), "by_whole")
+    left = materialize(keys.filter("cut").join(by_whole, ["part", "key"], "left_anti"), "still_cut")
+    met = materialize(longer_texts(left, left.filter("not open")), "by_unstopped")
+    ends = met.join(met.select("part", F.col("key").alias("longer")).distinct(), ["part", "longer"], "left_anti")
+    found = by_whole.unionByName(ends.groupBy("part", "key").agg(best))
+    return keys.join(found, ["part", "key"], "left").select("part", "key", F.coalesce("longer", "key").alias("final"))
 
 
 def _digest(*parts: Column) -> Column:
     return F.unhex(F.md5(F.concat_ws("|", *parts)))
 
 
-def group_records(records: DataFrame, part: str, words: str, cut: str) -> DataFrame:
+def group_records(records: DataFrame, part: str, words: str, cut: str, open_end: str) -> DataFrame:
     """``records`` with ``group_id``: equal for records of one part whose wording is the same.
 
     Exact copies are folded together first, so the steps that compare wordings see each text once.
@@ -163,11 +181,11 @@ def group_records(records: DataFrame, part: str, words: str, cut: str) -> DataFr
     stated = F.col(part).isNotNull() & (F.size(words) > 0)
     named = records.withColumn("text_id", F.when(stated, _digest(F.col(part), F.array_join(words, " "))))
     named = materialize(named, "records")
-    texts = named.filter("text_id is not null").groupBy("text_id").agg(F.first(part).alias("part"), F.first(words).alias("words"), F.min(cut).alias("cut"), F.count("*").alias("n"))
+    texts = named.filter("text_id is not null").groupBy("text_id").agg(F.first(part).alias("part"), F.first(words).alias("words"), F.min(cut).alias("cut"), F.min(open_end).alias("open"), F.count("*").alias("n"))
     texts = materialize(texts, "texts")
     repaired = repair_spelling(texts.select("text_id", "words"), "text_id", "words")
-    fixed = materialize(texts.drop("words").join(repaired, "text_id").select("text_id", "part", F.array_join("words", " ").alias("key"), "cut", "n"), "fixed")
-    keys = fixed.groupBy("part", "key").agg(F.min("cut").alias("cut"), F.sum("n").alias("n"))
+    fixed = materialize(texts.drop("words").join(repaired, "text_id").select("text_id", "part", F.array_join("words", " ").alias("key"), "cut", "open", "n"), "fixed")
+    keys = fixed.groupBy("part", "key").agg(F.min("cut").alias("cut"), F.min("open").alias("open"), F.sum("n").alias("n"))
     final = complete_cut_texts(keys)
     groups = fixed.join(final, ["part", "key"]).select("text_id", "n", _digest(F.col("part"), F.col("final")).alias("group_id"))
     groups = materialize(groups, "groups")
@@ -197,6 +215,7 @@ def prepare_skills(skills: DataFrame) -> DataFrame:
         text.alias("text_pt"), null_if_blank(F.col("description_en")).alias("text_en"), filled.alias("filled"),
         F.coalesce(text.rlike(_DAMAGE), F.lit(True)).alias("damaged"),
         subject_key(F.col("subject"), code, F.col("stage")).alias("part"), plain_words(text).alias("words"), F.coalesce(looks_cut(text), F.lit(False)).alias("cut"),
+        F.coalesce(looks_open(text), F.lit(False)).alias("open"),
     )
 
 
@@ -209,7 +228,7 @@ def duplicate_groups(skills: DataFrame) -> tuple[DataFrame, DataFrame]:
     is one row per group, whatever the group's size. Null or blank texts and unknown subjects
     belong to no group; an empty table gives no rows.
     """
-    grouped = materialize(group_records(prepare_skills(skills), "part", "words", "cut").filter("group_id is not null"), "grouped")
+    grouped = materialize(group_records(prepare_skills(skills), "part", "words", "cut", "open").filter("group_id is not null"), "grouped")
     rank = F.struct("years", "filled", F.col("loaded_at").isNotNull(), "loaded_at", -F.col("record_id"))
     whole = (~F.col("cut")).cast("int") * 2 + (~F.col("damaged")).cast("int")
     values = {

@@ -94,3 +94,17 @@ def test_ambiguous_slip_takes_its_neighbours(spark):
     texts = spark.createDataFrame([(k, r[5]) for k, r in enumerate([*known, skill(1, "em vistas ao pátio 3")])], "id int, t string").select("id", sv.plain_words(F.col("t")).alias("w"))
     fixed = {r["id"]: r["w"] for r in sv.repair_spelling(texts, "id", "w").collect()}
     assert fixed[60] == ["em", "visitas", "ao", "patio", "3"] and fixed[0] == ["em", "visitas", "ao", "patio", "0"]
+
+
+def test_longer_texts_without_full_stop_complete_cut_ones(spark):
+    cut, bare = TEXT.replace(", com até 20 registros.", " [...]"), TEXT.rstrip(".")
+    assert losers(spark, [skill(1, bare), skill(2, cut), *filler()]) == [(2, 1)]
+    between = TEXT.replace(" registros.", "")
+    assert losers(spark, [skill(1, bare), skill(2, cut), skill(3, between), *filler()]) == [(2, 1), (3, 1)]
+    assert losers(spark, [skill(1), skill(2, cut), skill(3, between), *filler()]) == [(2, 1), (3, 1)]
+    # An ellipsis is no whole text.
+    assert losers(spark, [skill(1, TEXT.replace(" registros.", "...")), skill(2, cut), *filler()]) == []
+
+
+def test_short_cut_texts(spark):
+    assert losers(spark, [skill(1, "Ler mapas da cidade."), skill(2, "Ler mapas..."), skill(3, "Ver mapas..."), *filler()]) == [(2, 1)]
