@@ -78,7 +78,7 @@ class Shredded:
     shape: Shape
     levels: list[DataFrame]
 
-    def table(self, name: str) -> DataFrame:
+    def table(self, name: str, *fields: str) -> DataFrame:
         """The table of an element: doc_id, discriminating key, own position, parent link, columns.
 
         ``path`` and ``places`` are the names and positions from the top down to the row; with
@@ -90,6 +90,7 @@ class Shredded:
             part = level.filter(F.col("element") == name)
             rows = part if rows is None else rows.unionByName(part)
         paths = self.shape.inlined(name)
+        paths += [(f,) for f in fields if (f,) not in paths]
         columns = [F.try_variant_get("node", "$" + "".join(f"['{p}']" for p in path), "string").alias("_".join(path)) for path in paths]
         return rows.select("doc_id", "entry", "element", "parent", "path", "places", F.element_at("places", -1).alias("position"), F.when(~F.col("is_object"), F.try_variant_get("node", "$", "string")).alias("value"), *columns)
 

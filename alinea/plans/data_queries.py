@@ -68,18 +68,14 @@ def p4_composite(spark: SparkSession, d: str) -> DataFrame:
 
 
 
-def _column(df: DataFrame, name: str):
-    return F.col(name) if name in df.columns else F.lit(None).cast("string")
-
-
 def _payloads(spark: SparkSession, d: str) -> nested.Shredded:
     return nested.shred(table(spark, d, "bncc_fundamental", "raw_id", "payload"), "raw_id", "payload")
 
 
 def _skills(parts: nested.Shredded) -> DataFrame:
     """Skills below objects, or directly below units (object_no -1), with the keys of their parents."""
-    rows = parts.table("habilidades")
-    text = null_if_blank(F.coalesce(_column(rows, "nome_habilidade"), F.col("value")))
+    rows = parts.table("habilidades", "nome_habilidade")
+    text = null_if_blank(F.coalesce(F.col("nome_habilidade"), F.col("value")))
     path = F.array_join("path", "/")
     below_object, below_unit = "entry/ano/unidades_tematicas/objeto_conhecimento/habilidades", "entry/ano/unidades_tematicas/habilidades"
     rows = rows.filter(path.isin(below_object, below_unit)).withColumn("text", text).filter("text is not null")
@@ -101,13 +97,13 @@ def p6_years(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_units(spark: SparkSession, d: str) -> DataFrame:
-    rows = _payloads(spark, d).table("unidades_tematicas").filter(F.array_join("path", "/") == "entry/ano/unidades_tematicas")
-    return rows.select(F.col("doc_id").alias("raw_id"), F.col("entry").alias("discipline"), F.get("places", F.lit(1)).alias("year_no"), F.col("position").alias("unit_no"), _column(rows, "nome_unidade").alias("unit_name"))
+    rows = _payloads(spark, d).table("unidades_tematicas", "nome_unidade").filter(F.array_join("path", "/") == "entry/ano/unidades_tematicas")
+    return rows.select(F.col("doc_id").alias("raw_id"), F.col("entry").alias("discipline"), F.get("places", F.lit(1)).alias("year_no"), F.col("position").alias("unit_no"), F.col("nome_unidade").alias("unit_name"))
 
 
 def p6_objects(spark: SparkSession, d: str) -> DataFrame:
-    rows = _payloads(spark, d).table("objeto_conhecimento").filter(F.array_join("path", "/") == "entry/ano/unidades_tematicas/objeto_conhecimento")
-    return rows.select(F.col("doc_id").alias("raw_id"), F.col("entry").alias("discipline"), F.get("places", F.lit(1)).alias("year_no"), F.get("places", F.lit(2)).alias("unit_no"), F.col("position").alias("object_no"), _column(rows, "nome_objeto").alias("object_name"))
+    rows = _payloads(spark, d).table("objeto_conhecimento", "nome_objeto").filter(F.array_join("path", "/") == "entry/ano/unidades_tematicas/objeto_conhecimento")
+    return rows.select(F.col("doc_id").alias("raw_id"), F.col("entry").alias("discipline"), F.get("places", F.lit(1)).alias("year_no"), F.get("places", F.lit(2)).alias("unit_no"), F.col("position").alias("object_no"), F.col("nome_objeto").alias("object_name"))
 
 
 def p6_year_labels(spark: SparkSession, d: str) -> DataFrame:

@@ -36,3 +36,26 @@ def test_empty_table_and_recursion(spark, rows):
     p = parts(spark, [json.dumps({"a": {"node": {"name": "x", "node": {"name": "y"}}}})])
     assert p.shape.needs_table("node")
     assert rows(p.table("node"), "path", "name") == [(["entry", "node", "node"], "y"), (["entry", "node"], "x")]
+
+
+def test_one_list_valued_name_keeps_the_others(spark, rows, monkeypatch):
+    import duckdb
+
+    from alinea.plans import data_queries
+
+    def payload(skill, unit="u", thing="o"):
+        return json.dumps({"arte": {"ano": [{"nome_ano": "1", "unidades_tematicas": [{"nome_unidade": unit, "objeto_conhecimento": [{"nome_objeto": thing, "habilidades": [{"nome_habilidade": skill}, "(EF01AR02) b"]}]}]}]}})
+
+    data = [(1, payload("(EF01AR01) a")), (2, payload(["(EF01AR03) c"], ["u"], ["o", "p"])), (3, payload("(EF01AR04) d"))]
+    docs = spark.createDataFrame(data, "raw_id long, payload string")
+    monkeypatch.setattr(data_queries, "table", lambda s, d, name, *columns: docs.select(*columns))
+    db = duckdb.connect()
+    db.sql("create table bncc_fundamental (raw_id bigint, payload varchar)")
+    db.executemany("insert into bncc_fundamental values (?, ?)", data)
+    for name in ("p6_found", "p6_units", "p6_objects"):
+        got = data_queries.QUERIES[name](spark, "")
+        want = db.sql(data_queries.SQL[name])
+        assert rows(got, *want.columns) == sorted(want.fetchall(), key=str), name
+    found = {(r["raw_id"], r["skill_no"]): r["bncc_code"] for r in data_queries.p6_found(spark, "").collect()}
+    assert found == {(1, 0): "EF01AR01", (1, 1): "EF01AR02", (2, 0): "EF01AR03", (2, 1): "EF01AR02", (3, 0): "EF01AR04", (3, 1): "EF01AR02"}
+    assert {r["unit_name"] for r in data_queries.p6_units(spark, "").collect() if r["raw_id"] != 2} == {"u"}
