@@ -13,13 +13,23 @@ from alinea.workspace import materialize
 BUCKETS = 1024
 
 
+def same_share(counts: np.ndarray, part: int, total: int) -> np.ndarray:
+    """About ``part / total`` of each length's documents; ``counts`` goes from the longest length down.
+
+    Shares are rounded on the counts added up from the longest length, so that lengths that occur
+    once are thinned out evenly. Sizes never exceed ``part`` and lack less than the longest document.
+    """
+    return np.diff(np.array([0, *(int(c) * part // total for c in np.cumsum(counts))], dtype=np.int64))
+
+
 def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int = 1 << 15) -> np.ndarray:
     """How many documents of each length to take so that their sizes add up to ``budget`` or just below.
 
-    First every length is taken in proportion to its count, so that the choice has the lengths of the
-    source. What is left of the budget is brought below ``window`` by whole documents, the longest
-    that fit first; the rest is a bounded knapsack: the reachable sums up to it are one bit set,
-    extended by each length's remaining count in binary parts, and read back from the largest sum.
+    Seven eighths of the budget, all but half of ``window`` at most, take the same share of every
+    length, so that the choice has the lengths of the source (``same_share``). What is left is brought
+    below ``window`` by whole documents, the longest that fit first; the rest is a bounded knapsack:
+    the reachable sums up to it are one bit set, extended by each length's remaining count in binary
+    parts, and read back from the largest sum.
     """
     order = np.argsort(-lengths, kind="stable")
     lengths, counts = lengths[order].astype(np.int64), counts[order].astype(np.int64)
@@ -27,7 +37,7 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int
     if budget >= total:
         take = counts.copy()
     else:
-        take = np.array([int(c) * budget // total for c in counts], dtype=np.int64)
+        take = same_share(counts, budget - min(budget // 8, window // 2), total)
         left = budget - int((lengths * take).sum())
         for i, n in enumerate(lengths):
             if left <= window:
@@ -59,14 +69,14 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, window: int
     return out
 
 
-def _budgets(spark_totals: DataFrame, targets: DataFrame, total: int | None, no_shortfall: bool = False) -> pd.DataFrame:
+def _budgets(spark_totals: DataFrame, targets: DataFrame, total: int | str) -> pd.DataFrame:
     """One row per source: supply, budget, whole repeats and rest. Sources are as few as the targets."""
     t = targets.join(spark_totals, "source", "left").toPandas()
     t["tokens"] = t["tokens"].fillna(0).astype("int64")
     t["supply"] = t["tokens"] * t["max_repeats"]
-    if total is None and not no_shortfall:
+    if total == "targets":
         total = int(t["tokens"].sum())
-    elif total is None:
+    elif total == "no shortfall":
         has = t[(t["tokens"] > 0) & (t["target_share"] > 0)]
         total = int((has["supply"] // has["target_share"]).min()) if len(has) else 0
     t["budget"] = [int(round(total * s)) for s in t["target_share"]]
@@ -76,16 +86,16 @@ def _budgets(spark_totals: DataFrame, targets: DataFrame, total: int | None, no_
     return t
 
 
-def plan_mixture(docs: DataFrame, targets: DataFrame, item: str, size: str, total: int | None = None, seed: int = 1, no_shortfall: bool = False) -> tuple[DataFrame, DataFrame]:
+def plan_mixture(docs: DataFrame, targets: DataFrame, item: str, size: str, total: int | str = "targets", seed: int = 1) -> tuple[DataFrame, DataFrame]:
     """(mixture, shares): which documents are used how often, and what each source reaches.
 
     ``docs`` has item, source and size; ``targets`` (a small table: at most 10,000 sources) has
-    source, target_share and max_repeats. The total size is ``total`` or, if not given, the size of
-    all documents of the target sources; with ``no_shortfall`` it is the largest at which every source
-    that has documents can hold its share within max_repeats, however small the scarcest source makes
-    it. Each source gets its share of the total as its budget: as many
-    whole passes over the source as fit, then documents whose sizes fill the rest exactly or as
-    nearly as their sizes allow (``fit_budget``, on the counts of documents per exact size). A source
+    source, target_share and max_repeats. The total size is a number or one of "targets", the size of
+    all documents of the target sources, so that the mixture follows the input; "all", the size of
+    all documents; "no shortfall", the largest at which every source that has documents can hold its
+    share within max_repeats, however small the scarcest source makes it. Each source gets its share
+    of the total as its budget: as many whole passes over the source as fit, then documents whose
+    sizes fill the rest exactly or as nearly as their sizes allow (``fit_budget``, on the counts of documents per exact size). A source
     that can't meet its budget within max_repeats is used max_repeats times in full and its shortfall
     is reported. Within a size, documents are picked by a seeded hash of their id, then by id.
 
@@ -96,11 +106,14 @@ def plan_mixture(docs: DataFrame, targets: DataFrame, item: str, size: str, tota
     if targets.count() > 10_000:
         raise ValueError("the table of targets is too large")
     spark = docs.sparkSession
+    if total == "all":  # sizes may be costly: they are worked out once
+        docs = materialize(docs.select(item, "source", size), "all_sized")
+        total = docs.agg(F.coalesce(F.sum(size), F.lit(0)).alias("all_sizes")).collect()[0]["all_sizes"]
     wanted = docs.filter(F.col(size) > 0).join(F.broadcast(targets.select("source")), "source", "left_semi")
     bucket = F.pmod(F.xxhash64(item, F.lit(seed)), F.lit(BUCKETS)).cast("int")
     wanted = materialize(wanted.select("source", F.col(item).alias("item"), F.col(size).cast("long").alias("size"), bucket.alias("bucket")), "sized")
     hist = materialize(wanted.groupBy("source", "size", "bucket").agg(F.count("*").alias("n")), "lengths")
-    budgets = _budgets(hist.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("tokens")), targets, total, no_shortfall)
+    budgets = _budgets(hist.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("tokens")), targets, total)
     known = spark.createDataFrame(budgets[["source", "passes", "rest"]], "source string, passes long, rest long")
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -70,10 +70,10 @@ def _source(c: str):
     return F.regexp_replace(F.lower(strip(null_if_blank(F.col(c)))), r"[\s\x{00a0}_\-]+", "_")
 
 
-def _mixture(spark: SparkSession, d: str, total: int | None = None, no_shortfall: bool = False) -> tuple[DataFrame, DataFrame]:
+def _mixture(spark: SparkSession, d: str, total: str = "targets") -> tuple[DataFrame, DataFrame]:
     docs = _sized(spark, d, "doc_id", "source").withColumn("source", _source("source"))
     targets = table(spark, d, "mix_targets").withColumn("source", _source("source"))
-    return mixing.plan_mixture(docs, targets, "doc_id", "tokens", total, no_shortfall=no_shortfall)
+    return mixing.plan_mixture(docs, targets, "doc_id", "tokens", total)
 
 
 def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
@@ -86,13 +86,12 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 def p8_shares_fixed(spark: SparkSession, d: str) -> DataFrame:
     """Shares reached if the mixture is to have as many tokens as all documents, with the shortfalls."""
-    total = _sized(spark, d, "doc_id").agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("all_tokens")).collect()[0]["all_tokens"]
-    return _mixture(spark, d, total)[1]
+    return _mixture(spark, d, "all")[1]
 
 
 def p8_mixture_no_shortfall(spark: SparkSession, d: str) -> DataFrame:
     """The largest mixture in which every source that has documents holds its share."""
-    return _mixture(spark, d, no_shortfall=True)[0].select("source", F.col("item").alias("doc_id"), F.col("size").alias("tokens"), "repeats")
+    return _mixture(spark, d, "no shortfall")[0].select("source", F.col("item").alias("doc_id"), F.col("size").alias("tokens"), "repeats")
 
 
 def _quality(spark: SparkSession, d: str) -> DataFrame:

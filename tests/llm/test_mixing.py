@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from alinea.llm.mixing import fit_budget, plan_mixture
+from alinea.llm.mixing import fit_budget, plan_mixture, same_share
 
 DOCS = "doc long, source string, n int, size int, repeats string"
 
@@ -16,14 +16,15 @@ def reachable(lengths, counts):
 @pytest.mark.parametrize("seed", range(20))
 def test_fit_against_brute_force(seed):
     rng = random.Random(seed)
-    lengths = np.array(rng.sample(range(2, 40), 4))
+    lengths = np.array(sorted(rng.sample(range(2, 40), 4), reverse=True))
     counts = np.array([rng.randrange(1, 6) for _ in lengths])
     total = int((lengths * counts).sum())
     budget = rng.randrange(total + 10)
     take = fit_budget(lengths, counts, budget)
     assert (take >= 0).all() and (take <= counts).all()
     # The proportional part is fixed first; the rest is the best that the remaining counts allow.
-    base = counts * budget // total if budget < total else counts
+    base = same_share(counts, budget - budget // 8, total) if budget < total else counts
+    assert budget >= total or 0 <= budget - budget // 8 - (lengths * base).sum() <= lengths[0]
     best = max(x for x in reachable(lengths, counts - base) if x <= budget - (lengths * base).sum()) if budget < total else 0
     assert (lengths * take).sum() == (lengths * base).sum() + best
 
@@ -73,7 +74,7 @@ def test_scarce_source_does_not_shrink_the_mixture(spark):
     assert shares["a"]["reached"] == 6750 and shares["a"]["shortfall"] < 10
     assert shares["b"]["budget"] == 2252 and shares["b"]["reached"] == 40 and shares["b"]["shortfall"] == 2212
     assert len(mix) == 676 and [(r["item"], r["repeats"]) for r in mix if r["source"] == "b"] == [(9000, 4)]
-    mix, shares = run(spark, docs, targets, no_shortfall=True)
+    mix, shares = run(spark, docs, targets, total="no shortfall")
     assert shares["a"]["reached"] == 120 and shares["b"]["shortfall"] == 0 and len(mix) == 13
 
 
