@@ -103,11 +103,12 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_measures(spark: SparkSession, d: str) -> DataFrame:
-    shares = ["mean_word_length", "symbol_share", "single_letter_share", "distinct_share", "common_share"]
-    q = _quality(spark, d)
-    return q.select(
-        "doc_id", "kind", F.array_join("reasons", "; ").alias("reasons"), "n_chars", "n_words", "n_lines",
-        (F.col("n_punct_ends") / F.col("n_lines")).alias("punct_end_share"), (F.col("n_bullets") / F.col("n_lines")).alias("bullet_share"), *shares,
+    """The statistics of each text, the published rules that it fails, and its kind."""
+    share = lambda n, of: (F.col(n) / F.greatest(F.lit(1), F.col(of))).alias
+    return _quality(spark, d).select(
+        "doc_id", "kind", F.array_join("reasons", "; ").alias("reasons"), "n_chars", "n_words", "n_lines", share("n_word_chars", "n_words")("mean_word_length"),
+        share("n_symbols", "n_chars")("symbol_share"), share("n_punct_ends", "n_lines")("punct_end_share"), share("n_bullets", "n_lines")("bullet_share"),
+        share("n_common", "n_words")("common_share"), share("n_fours", "n_words")("distinct_share"), share("n_repeated_chars", "n_chars")("repeated_share"),
     )
 
 
