@@ -13,8 +13,9 @@ NULL_WORDS = (
 
 #: Grammar of a clean code.
 CODE = r"^(EI|EF|EM)[0-9]{2}[A-Z]{2,3}[0-9]{2,7}$"
-#: White space, zero-width marks and the byte order mark.
+#: White space, zero-width marks and the byte order mark: as a class of patterns, and one by one.
 BLANK = r"[\s\x{00a0}\x{1680}\x{2000}-\x{200d}\x{2028}\x{2029}\x{202f}\x{205f}\x{2060}\x{3000}\x{feff}]"
+BLANKS = " \t\n\v\f\r\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200E))) + "\u2028\u2029\u202f\u205f\u2060\u3000\ufeff"
 #: A code that opens a text, in any of its spellings, perhaps in brackets.
 OPENING_CODE = (
     r"(?i)^[^\p{L}\p{N}]*(E[IFM][\x{200b}\-.]?[0-9]{2}[\x{200b}\x{00a0} \-.]?[A-Z]{2,3}[\x{200b}\x{00a0} \-.]?[0-9]{2,7})"
@@ -24,7 +25,7 @@ OPENING_CODE = (
 
 def strip(c: Column) -> Column:
     """The text without blanks and zero-width marks at both ends."""
-    return F.regexp_replace(c, f"^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def null_if_blank(c: Column) -> Column:
@@ -39,19 +40,23 @@ def clean_code(c: Column) -> Column:
     return F.when(c.rlike(CODE), c).when(bare.rlike(CODE), bare)
 
 
-def _hex32(c: Column) -> Column:
-    bare = F.regexp_replace(F.lower(c), r"^[^0-9a-z]*(urn:)?(uuid:)?|[^0-9a-z]", "")
-    return F.when(bare.rlike("^[0-9a-f]{32}$"), bare)
-
-
 def id_bytes(c: Column) -> Column:
-    """The id as 16 bytes, for keys that are shuffled; null where the value has no clean form."""
-    return F.unhex(_hex32(c))
+    """The id as 16 bytes, for keys that are shuffled; null where the value has no clean form.
+
+    Blanks and words for "no value" have none. Most ids differ from the clean form in hyphens at
+    most: those need no pattern.
+    """
+    bare = F.replace(c, F.lit("-"), F.lit(""))
+    plain = F.when(F.length(bare) == 32, F.unhex(bare))
+    digits = F.regexp_replace(F.lower(c), r"^[^0-9a-z]*(urn:)?(uuid:)?|[^0-9a-z]", "")
+    return F.coalesce(plain, F.when(digits.rlike("^[0-9a-f]{32}$"), F.unhex(digits)))
 
 
 def id_text(b: Column) -> Column:
     """The clean text of an id of 16 bytes."""
-    return F.regexp_replace(F.lower(F.hex(b)), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    h = F.lower(F.hex(b))
+    part = lambda at, n: F.substring(h, at, n)
+    return F.when(b.isNotNull(), F.concat_ws("-", part(1, 8), part(9, 4), part(13, 4), part(17, 4), part(21, 12)))
 
 
 def clean_id(c: Column) -> Column:

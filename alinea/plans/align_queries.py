@@ -10,6 +10,7 @@ from alinea.functions.clean import clean_code, clean_id, id_bytes, id_text, null
 from alinea.operators import annotate, dedup, matching, metrics, projection, scoring, serve
 from alinea.plans import sql
 from alinea.sources.tables import table
+from alinea.workspace import materialize
 
 #: Similarity from which the SQL of the candidate matches lists them; the queries have no floor.
 LEAST = 0.6
@@ -17,17 +18,17 @@ LEAST = 0.6
 
 def _left(s: SparkSession, d: str) -> DataFrame:
     rows = table(s, d, "bncc_components", "row_id", "habilidade_code", "component_id", "description")
-    return rows.select("row_id", clean_code(F.col("habilidade_code")).alias("left_id"), id_bytes(null_if_blank(F.col("component_id"))).alias("element"), "description")
+    return rows.select("row_id", clean_code(F.col("habilidade_code")).alias("left_id"), id_bytes(F.col("component_id")).alias("element"), "description")
 
 
 def _matches(s: SparkSession, d: str) -> DataFrame:
     rows = table(s, d, "bncc_component_matches", "match_id", "bncc_component_id", "cc_component_id", "match_tier", "similarity")
-    return rows.select(F.col("match_id").alias("ord"), id_bytes(null_if_blank(F.col("bncc_component_id"))).alias("element"), id_bytes(null_if_blank(F.col("cc_component_id"))).alias("target"), null_if_blank(F.col("match_tier")).alias("tier"), "similarity")
+    return rows.select(F.col("match_id").alias("ord"), id_bytes(F.col("bncc_component_id")).alias("element"), id_bytes(F.col("cc_component_id")).alias("target"), null_if_blank(F.col("match_tier")).alias("tier"), "similarity")
 
 
 def _right(s: SparkSession, d: str) -> DataFrame:
     rows = table(s, d, "cc_components_full", "row_id", "standard_id", "component_id", "source", "description")
-    return rows.select(F.col("row_id").alias("ord"), id_bytes(F.col("standard_id")).alias("right_id"), id_bytes(null_if_blank(F.col("component_id"))).alias("target"), F.lower("source").alias("source"), "description")
+    return rows.select(F.col("row_id").alias("ord"), id_bytes(F.col("standard_id")).alias("right_id"), id_bytes(F.col("component_id")).alias("target"), F.lower("source").alias("source"), "description")
 
 
 def _scored(s: SparkSession, d: str) -> DataFrame:
@@ -61,12 +62,12 @@ def tier_counts(s: SparkSession, d: str) -> DataFrame:
 
 def _edges(s: SparkSession, d: str) -> DataFrame:
     rows = table(s, d, "bncc_prerequisites", "source_cc_standard_id", "source_cc_prereq_id")
-    return rows.select(id_bytes(null_if_blank(F.col("source_cc_standard_id"))).alias("node"), id_bytes(null_if_blank(F.col("source_cc_prereq_id"))).alias("prerequisite")).filter("node is not null and prerequisite is not null").distinct()
+    return rows.select(id_bytes(F.col("source_cc_standard_id")).alias("node"), id_bytes(F.col("source_cc_prereq_id")).alias("prerequisite")).filter("node is not null and prerequisite is not null").distinct()
 
 
 def _mapping(s: SparkSession, d: str) -> DataFrame:
     best = scoring.rank_top(_scored(s, d), "left_id", "score", "right_id", 10)
-    return best.select(F.col("right_id").alias("node"), F.col("left_id").alias("code"), "score")
+    return materialize(best.select(F.col("right_id").alias("node"), F.col("left_id").alias("code"), "score"), "mapping")  # read for both ends
 
 
 def edge_projection(s: SparkSession, d: str) -> DataFrame:
@@ -76,7 +77,7 @@ def edge_projection(s: SparkSession, d: str) -> DataFrame:
 
 def _prerequisites(s: SparkSession, d: str) -> DataFrame:
     rows = table(s, d, "bncc_prerequisites", "habilidade_code", "prerequisite_code")
-    return rows.select(clean_code(F.col("habilidade_code")).alias("code"), clean_code(null_if_blank(F.col("prerequisite_code"))).alias("prerequisite_code")).filter("prerequisite_code is not null")
+    return rows.select(clean_code(F.col("habilidade_code")).alias("code"), clean_code(F.col("prerequisite_code")).alias("prerequisite_code")).filter("prerequisite_code is not null")
 
 
 def unlocks(s: SparkSession, d: str) -> DataFrame:

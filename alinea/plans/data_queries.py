@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alinea.functions.clean import clean_code, id_bytes, null_if_blank, opening_code
@@ -13,7 +15,7 @@ from alinea.sources.tables import table
 
 def _tree(spark: SparkSession, d: str) -> DataFrame:
     links = table(spark, d, "bncc_prerequisites", "habilidade_code", "prerequisite_code")
-    links = links.select(clean_code(F.col("habilidade_code")).alias("code"), clean_code(null_if_blank(F.col("prerequisite_code"))).alias("above"))
+    links = links.select(clean_code(F.col("habilidade_code")).alias("code"), clean_code(F.col("prerequisite_code")).alias("above"))
     return hierarchy.resolve_hierarchy(links, "code", "above")
 
 
@@ -29,19 +31,23 @@ def p3_descendants(spark: SparkSession, d: str) -> DataFrame:
     return hierarchy.ancestor_pairs(_tree(spark, d))
 
 
+def _named(refs: DataFrame, column: str, clean: Callable[[Column], Column]) -> DataFrame:
+    """References that name something, with their clean ``key``; null keys are values without a clean form."""
+    keyed = refs.withColumn("key", clean(F.col(column)))
+    return keyed.filter(F.col("key").isNotNull() | null_if_blank(F.col(column)).isNotNull()).drop(column)
+
+
 def _orphans(spark: SparkSession, d: str) -> DataFrame:
     """Both references of problem 4: (ref_table, row_id, kind, period)."""
     refs = table(spark, d, "bncc_component_matches", "match_id", "cc_component_id", "matched_at")
-    refs = refs.withColumn("cc_component_id", null_if_blank(F.col("cc_component_id"))).filter("cc_component_id is not null")
-    refs = refs.select("match_id", "matched_at", id_bytes(F.col("cc_component_id")).alias("key"))
+    refs = _named(refs, "cc_component_id", id_bytes)
     targets = table(spark, d, "cc_components_full", "component_id", "loaded_at", "deleted_at")
     targets = targets.withColumn("component_id", id_bytes(F.col("component_id")))
     a = references.find_orphans(refs, targets, [("key", "component_id")], "matched_at", "loaded_at", "deleted_at", broken=F.col("key").isNull())
     a = a.select(F.lit("bncc_component_matches").alias("ref_table"), F.col("match_id").alias("row_id"), "kind", "period")
 
     refs = table(spark, d, "bncc_prerequisites", "row_id", "prerequisite_code", "created_at")
-    refs = refs.withColumn("prerequisite_code", null_if_blank(F.col("prerequisite_code"))).filter("prerequisite_code is not null")
-    refs = refs.select("row_id", "created_at", clean_code(F.col("prerequisite_code")).alias("key"))
+    refs = _named(refs, "prerequisite_code", clean_code)
     targets = table(spark, d, "bncc_standards", "bncc_code", "loaded_at", "deleted_at")
     targets = targets.withColumn("bncc_code", clean_code(F.col("bncc_code")))
     b = references.find_orphans(refs, targets, [("key", "bncc_code")], "created_at", "loaded_at", "deleted_at", broken=F.col("key").isNull())
@@ -59,15 +65,13 @@ def p4_report(spark: SparkSession, d: str) -> DataFrame:
 def p4_composite(spark: SparkSession, d: str) -> DataFrame:
     """Prerequisite rows whose pair (standard, prerequisite standard) no match row scored, by null mask."""
     refs = table(spark, d, "bncc_prerequisites", "row_id", "habilidade_code", "source_cc_standard_id", "created_at")
-    refs = refs.select("row_id", "created_at", clean_code(null_if_blank(F.col("habilidade_code"))).alias("hab"), id_bytes(null_if_blank(F.col("source_cc_standard_id"))).alias("std"))
+    refs = refs.select("row_id", "created_at", clean_code(F.col("habilidade_code")).alias("hab"), id_bytes(F.col("source_cc_standard_id")).alias("std"))
     targets = table(spark, d, "bncc_cc_standard_matches", "habilidade_code", "cc_standard_id", "scored_at")
     targets = targets.select(clean_code(F.col("habilidade_code")).alias("habilidade"), id_bytes(F.col("cc_standard_id")).alias("standard"), F.col("scored_at").alias("loaded_at"), F.lit(None).cast("timestamp_ntz").alias("deleted_at"))
     found = references.find_orphans(refs, targets, [("hab", "habilidade"), ("std", "standard")], "created_at", "loaded_at", "deleted_at", match="partial")
     return found.select("row_id", "kind", "period")
 
 
-
-
 def _payloads(spark: SparkSession, d: str) -> nested.Shredded:
     return nested.shred(table(spark, d, "bncc_fundamental", "raw_id", "payload"), "raw_id", "payload")
 
