@@ -24,7 +24,7 @@ def p1_best(spark: SparkSession, d: str) -> DataFrame:
 def _sets(spark: SparkSession, d: str) -> DataFrame:
     a = table(spark, d, "bncc_components", "habilidade_code", "component_id")
     b = table(spark, d, "cc_components_full", "standard_id", "component_id")
-    element = id_bytes(null_if_blank(F.col("component_id"))).alias("element")
+    element = id_bytes(F.col("component_id")).alias("element")
     return a.select(clean_code(F.col("habilidade_code")).alias("key"), element).unionByName(b.select(clean_id(F.col("standard_id")).alias("key"), element))
 
 

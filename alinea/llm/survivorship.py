@@ -2,26 +2,34 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alinea.functions.clean import BLANK, clean_code, fold, grade_years, null_if_blank
+from alinea.functions import grammar
+from alinea.functions.clean import clean_code, fold, grade_years, null_if_blank, strip
 from alinea.operators.skew import join_by_heat
 from alinea.workspace import materialize
 
-#: The subjects' folded names and the key they are compared by.
-SUBJECT_NAMES = {
-    "lingua portuguesa": "LP", "matematica": "MA", "geografia": "GE", "historia": "HI", "ciencias": "CI",
-    "arte": "AR", "ensino religioso": "ER", "lingua inglesa": "LI", "educacao fisica": "EDF", "computacao": "CO",
-    "o eu o outro e o nos": "EO", "corpo gestos e movimentos": "CG", "tracos sons cores e formas": "TS",
-    "escuta fala pensamento e imaginacao": "EFPI", "espacos tempos quantidades relacoes e transformacoes": "ET",
-    "linguagens e suas tecnologias": "LGG", "matematica e suas tecnologias": "MAT",
-    "ciencias da natureza e suas tecnologias": "CNT", "ciencias humanas e sociais aplicadas": "CHS",
-}
-#: Letters of codes that differ from the key; EF means another subject in the early years.
+#: Letters of codes that mean the subject of other letters; EF means another subject in the early years.
 SUBJECT_LETTERS = {"ART": "AR", "EF": "EDF"}
 EARLY_LETTERS = {"EF": "EFPI"}
 
+
+def _folded(name: str) -> str:
+    """A subject's name in the form it is compared in: what ``fold`` and the removal of signs make of it."""
+    plain = "".join(c for c in unicodedata.normalize("NFD", name.lower()) if not unicodedata.combining(c))
+    return " ".join(re.findall(r"\w+", plain))
+
+
+def _subject_names() -> dict[str, str]:
+    """Folded name to the key that subjects are compared by."""
+    names = {_folded(name): SUBJECT_LETTERS.get(letters, letters) for letters, name in grammar.SUBJECT_NAMES.items()}
+    return names | {_folded(grammar.EARLY_EF): EARLY_LETTERS["EF"], _folded(grammar.LATER_EF): SUBJECT_LETTERS["EF"]}
+
+
 #: UTF-8 read as a one-byte encoding: what follows the mark, by the letter it stands for.
 _MISREAD = {
     "a": r"\x{80}-\x{85}\x{a1}-\x{a5}\x{20ac}\x{201a}\x{192}\x{201e}", "c": r"\x{87}\x{a7}\x{2021}",
@@ -29,9 +37,7 @@ _MISREAD = {
     "n": r"\x{91}\x{b1}\x{2018}", "o": r"\x{92}-\x{96}\x{b2}-\x{b6}\x{2019}\x{201c}\x{201d}\x{2022}\x{2013}",
     "u": r"\x{99}-\x{9c}\x{b9}-\x{bc}\x{2122}\x{161}\x{203a}\x{153}",
 }
-_TAG = r"<[^<>]{0,300}>"
-_DAMAGE = f"{_TAG}|&#?[A-Za-z0-9]{{2,8}};|[ÃÂ][\\x{{80}}-\\x{{bf}}]|[\\x{{ad}}\\x{{200b}}\\x{{feff}}]|\\p{{M}}"
-_CUT = r"(?:\x{2026}|\.\.\.|\[\s*(?:\x{2026}|\.\.\.)\s*\])$"
+_TAG = r"<[^<>]*>"
 
 
 def plain_words(text: Column) -> Column:
@@ -40,28 +46,56 @@ def plain_words(text: Column) -> Column:
     Tags, entities, misread UTF-8, soft hyphens, zero-width marks, combining accents, punctuation and
     a code that opens the text are taken away. Null gives null, a text without words an empty list.
     """
-    t = F.regexp_replace(text, _TAG, " ")
+    t = _untagged(text)
+    entities, misread = F.contains(text, F.lit("&")), F.contains(text, F.lit("Ã")) | F.contains(text, F.lit("Â"))
+    t = F.when(entities, _without_entities(t)).otherwise(t)
+    t = F.when(misread, _reread(t)).otherwise(t)
+    t = F.regexp_replace(fold(t), r"[\x{ad}\x{200b}-\x{200d}\x{2060}\x{feff}]+", "")
+    t = F.regexp_replace(t, r"^[^\p{L}\p{N}]*e[ifm][^\p{L}\p{N}]?\d{2}[^\p{L}\p{N}]?[a-z]{2,3}[^\p{L}\p{N}]?\d{2,7}(?![\p{L}\p{N}])", " ")
+    return F.regexp_extract_all(t, F.lit(r"([\p{L}\p{N}]+)"), 1)
+
+
+def _untagged(text: Column) -> Column:
+    return F.when(F.contains(text, F.lit("<")), F.regexp_replace(text, _TAG, " ")).otherwise(text)
+
+
+def _without_entities(t: Column) -> Column:
     t = F.regexp_replace(t, "&([A-Za-z])(?:acute|grave|circ|tilde|uml|cedil|ring);", "$1")
     t = F.regexp_replace(t, "&ord([fm]);", "$1")
-    t = F.regexp_replace(t, "&#?[A-Za-z0-9]{2,8};", " ")
+    return F.regexp_replace(t, "&#?[A-Za-z0-9]{2,8};", " ")
+
+
+def _reread(t: Column) -> Column:
+    """Letters that were read as two signs."""
     t = F.regexp_replace(t, r"(?<!\p{L})Ã\x{a0}", "a ")
     for letter, tail in _MISREAD.items():
         t = F.regexp_replace(t, f"Ã[{tail}]", letter)
-    t = F.regexp_replace(t, r"Â(?=[\x{a0}-\x{bf}])", "")
-    t = F.regexp_replace(fold(t), r"[\x{ad}\x{200b}-\x{200d}\x{2060}\x{feff}]", "")
-    t = F.regexp_replace(t, r"^[^\p{L}\p{N}]*e[ifm][^\p{L}\p{N}]?\d{2}[^\p{L}\p{N}]?[a-z]{2,3}[^\p{L}\p{N}]?\d{2,7}(?![\p{L}\p{N}])", " ")
-    return F.regexp_extract_all(t, F.lit(r"([\p{L}\p{N}]+)"), 1)
+    return F.regexp_replace(t, r"Â(?=[\x{a0}-\x{bf}])", "")
 
 
-def looks_cut(text: Column) -> Column:
-    """True if a text ends in an ellipsis, or without any closing punctuation."""
-    end = F.regexp_replace(F.regexp_replace(text, _TAG, " "), f"{BLANK}+$", "")
-    return end.rlike(_CUT) | end.rlike(r"[\p{L}\p{N}]$")
+def text_end(text: Column) -> Column:
+    """The last characters of a text without tags and outer blanks: all that tells how it ends."""
+    end = strip(_untagged(text))
+    # A bracket may hold an ellipsis among blanks; other ends are told by three characters.
+    return F.when(end.endswith("]"), F.regexp_replace(F.right(end, F.lit(400)), r"\s+", "")).otherwise(F.right(end, F.lit(3)))
 
 
-def looks_open(text: Column) -> Column:
-    """True if a text ends in an ellipsis."""
-    return F.regexp_replace(F.regexp_replace(text, _TAG, " "), f"{BLANK}+$", "").rlike(_CUT)
+def ends_in_ellipsis(end: Column) -> Column:
+    return end.endswith("…") | end.endswith("...") | end.endswith("[…]") | end.endswith("[...]")
+
+
+def ends_unstopped(end: Column) -> Column:
+    """True if a text ends in a letter or digit, without closing punctuation."""
+    return F.right(end, F.lit(1)).rlike(r"[\p{L}\p{N}]")
+
+
+def is_damaged(text: Column) -> Column:
+    """True if a text holds markup, entities, misread letters, invisible marks or combining accents."""
+    has = lambda c: F.contains(text, F.lit(c))
+    return (
+        (has("<") & text.rlike(_TAG)) | (has("&") & text.rlike(r"&#?[A-Za-z0-9]{2,8};")) | ((has("Ã") | has("Â")) & text.rlike(r"[ÃÂ][\x{80}-\x{bf}]"))
+        | text.rlike(r"[\x{ad}\x{200b}\x{feff}\p{M}]")
+    )
 
 
 def subject_key(subject: Column, code: Column, stage: Column) -> Column:
@@ -75,33 +109,33 @@ def subject_key(subject: Column, code: Column, stage: Column) -> Column:
 
     given = null_if_blank(subject)
     name = F.trim(F.regexp_replace(fold(given), r"[^\p{L}\p{N}]+", " "))
-    known = F.element_at(F.create_map(*(F.lit(x) for kv in SUBJECT_NAMES.items() for x in kv)), name)
+    known = F.element_at(F.create_map(*(F.lit(x) for kv in _subject_names().items() for x in kv)), name)
     as_letters = F.when(name.rlike("^[a-z]{2,3}$"), by_letters(F.upper(name)))
     return F.when(given.isNotNull(), F.coalesce(known, as_letters, name)).when(letters != "", by_letters(letters))
 
 
 def _variants(w: Column) -> Column:
     """A word with up to two of its letters left out."""
-    cut = lambda c: F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.concat(F.substring(c, F.lit(1), i - 1), F.substring(c, i + 1, F.lit(100))))
+    cut = lambda c: F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.concat(F.left(c, i - 1), F.substring(c, i + 1, F.length(c))))
     one = cut(w)
     return F.array_distinct(F.concat(F.array(w), one, F.flatten(F.transform(one, cut))))
 
 
-def spelling_candidates(texts: DataFrame, words: str, min_len: int = 5, once: int = 5, twice: int = 20) -> DataFrame:
+def spelling_candidates(texts: DataFrame, words: str, min_len: int = 5, max_len: int = 48, once: int = 5, twice: int = 20) -> DataFrame:
     """(word, fix, near, n_fix): more frequent words that a rare word may be a slip of.
 
-    Words of letters only, of ``min_len`` or more, with the same first letter, one slip apart (a
-    letter more, less, wrong, or two swapped) and ``once`` times as frequent, or two slips apart
-    (from seven letters) and ``twice`` times as frequent. Frequencies count the texts that hold a
-    word. Words that are slips themselves correct nothing. Pairs meet through words with letters left out, so the work follows the vocabulary.
+    Words of letters only, from ``min_len`` to ``max_len`` letters, with the same first letter, one
+    slip apart (a letter more, less, wrong, or two swapped) and ``once`` times as frequent, or two
+    slips apart (from seven letters) and ``twice`` times as frequent. Frequencies count the texts that
+    hold a word. Words that are slips themselves correct nothing. Pairs meet through their first
+    letter and words with letters left out, so the work follows the vocabulary.
     """
     vocab = texts.select(F.explode(F.array_distinct(words)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    vocab = materialize(vocab.filter(F.col("word").rlike(r"^\p{L}+$") & (F.length("word") >= min_len)), "vocabulary")
-    keyed = vocab.select("word", "n", F.explode(_variants(F.col("word"))).alias("variant"))
-    rare = keyed.select("variant", "word", "n")
-    more = keyed.select("variant", F.col("word").alias("fix"), F.col("n").alias("n_fix"))
-    met = rare.join(more, "variant").filter(F.col("n_fix") >= once * F.col("n")).filter(F.left("word", F.lit(1)) == F.left("fix", F.lit(1)))
-    met = met.select("word", "n", "fix", "n_fix").distinct()
+    vocab = materialize(vocab.filter(F.col("word").rlike(r"^\p{L}+$") & F.length("word").between(min_len, max_len)), "vocabulary")
+    keyed = vocab.select("word", "n", F.left("word", F.lit(1)).alias("first"), F.explode(_variants(F.col("word"))).alias("variant"))
+    rare = keyed.select("first", "variant", "word", "n")
+    more = keyed.filter(F.col("n") >= once).select("first", "variant", F.col("word").alias("fix"), F.col("n").alias("n_fix"))
+    met = rare.join(more, ["first", "variant"]).filter(F.col("n_fix") >= once * F.col("n")).select("word", "n", "fix", "n_fix").distinct()
     gap = F.levenshtein("word", "fix")
     letters = lambda c: F.array_sort(F.split(c, ""))
     same_letters = letters(F.col("word")) == letters(F.col("fix"))
@@ -126,10 +160,10 @@ def repair_spelling(texts: DataFrame, text_id: str, words: str) -> DataFrame:
     slips = materialize(spots.join(candidates, "word"), "spots")
     left, right = F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, F.lit(2), F.size(words))
     pairs = texts.filter(F.size(words) > 1).select(F.explode(F.arrays_zip(left.alias("a"), right.alias("b"))).alias("x")).select("x.a", "x.b")
-    # Only pairs that hold one of the candidates are counted.
-    fixes = slips.select("fix").distinct()
-    pairs = pairs.join(fixes.withColumnRenamed("fix", "a"), "a", "left_semi").unionByName(pairs.join(fixes.withColumnRenamed("fix", "b"), "b", "left_semi"))
-    pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("c"))
+    # Neighbours are counted before the shuffle, and only those that a candidate would have are kept.
+    asked = slips.select(F.explode(F.array(F.struct(F.col("before").alias("a"), F.col("fix").alias("b")), F.struct(F.col("fix").alias("a"), F.col("after").alias("b")))).alias("x"))
+    asked = asked.select("x.a", "x.b").filter("a is not null and b is not null").distinct()
+    pairs = materialize(pairs.groupBy("a", "b").agg(F.count("*").alias("c")).join(asked, ["a", "b"], "left_semi"), "neighbours")
     scored = slips.join(pairs.toDF("before", "fix", "c1"), ["before", "fix"], "left").join(pairs.toDF("fix", "after", "c2"), ["fix", "after"], "left")
     fit = F.struct(F.coalesce("c1", F.lit(0)) + F.coalesce("c2", F.lit(0)), "n_fix", "fix")
     chosen = scored.groupBy(text_id, "pos").agg(F.max_by("fix", fit).alias("fix"))
@@ -208,14 +242,16 @@ def prepare_skills(skills: DataFrame) -> DataFrame:
     code = clean_code(null_if_blank(F.col("bncc_code")))
     fields = ["bncc_code", "stage", "grade", "subject", "description_pt", "description_en"]
     filled = sum((F.when(null_if_blank(F.col(c)).isNotNull(), 1).otherwise(0) for c in fields), F.lit(0))
-    text = null_if_blank(F.col("description_pt"))
+    # One row per row: the texts' ends and clean forms are worked out once for all their uses.
+    skills = skills.select("*", F.explode(F.array(F.struct(null_if_blank(F.col("description_pt")).alias("text"), text_end(null_if_blank(F.col("description_pt"))).alias("end")))).alias("_pt"))
+    text, end = F.col("_pt.text"), F.col("_pt.end")
     return skills.select(
         "record_id", "loaded_at", code.alias("code"), (code == F.col("bncc_code")).alias("code_as_written"),
         null_if_blank(F.col("grade")).alias("grade"), grade_years(F.col("grade")).alias("years"), null_if_blank(F.col("subject")).alias("subject"),
         text.alias("text_pt"), null_if_blank(F.col("description_en")).alias("text_en"), filled.alias("filled"),
-        F.coalesce(text.rlike(_DAMAGE), F.lit(True)).alias("damaged"),
-        subject_key(F.col("subject"), code, F.col("stage")).alias("part"), plain_words(text).alias("words"), F.coalesce(looks_cut(text), F.lit(False)).alias("cut"),
-        F.coalesce(looks_open(text), F.lit(False)).alias("open"),
+        F.coalesce(is_damaged(text), F.lit(True)).alias("damaged"),
+        subject_key(F.col("subject"), code, F.col("stage")).alias("part"), plain_words(text).alias("words"), F.coalesce(ends_in_ellipsis(end) | ends_unstopped(end), F.lit(False)).alias("cut"),
+        F.coalesce(ends_in_ellipsis(end), F.lit(False)).alias("open"),
     )
 
 
