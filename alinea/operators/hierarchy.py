@@ -14,14 +14,20 @@ def parent_links(links: DataFrame, child: str, parent: str) -> DataFrame:
     """One row (code, parent) for each code in either column; parent is null for roots.
 
     Repeated links count once and a null parent only counts if there is no other. If a code has
-    several distinct parents, the smallest is its parent. Rows without a child and a parent give
-    nothing; a row without a child names its parent only.
+    several distinct parents, the smallest is its parent; ``further_parents`` reports the others. Rows
+    without a child and a parent give nothing; a row without a child names its parent only.
     """
     both = links.select(F.col(child).alias("c"), F.col(parent).alias("p"))
     named = both.select(F.explode(F.array(F.struct(F.col("c").alias("code"), F.col("p").alias("parent")), F.struct(F.col("p").alias("code"), F.lit(None).cast("string").alias("parent")))).alias("x"))
     return named.select("x.*").filter("code is not null").groupBy("code").agg(F.min("parent").alias("parent"))
 
 
+def further_parents(links: DataFrame, child: str, parent: str) -> DataFrame:
+    """(code, parent, further): the links that ``parent_links`` leaves out, with the parent that it takes."""
+    rows = links.select(F.col(child).alias("code"), F.col(parent).alias("further")).filter("code is not null and further is not null").distinct()
+    return rows.join(parent_links(links, child, parent), "code").filter("further <> parent").select("code", "parent", "further")
+
+
 def _hops(edges: DataFrame, stride: int) -> DataFrame:
     """(top, code, distance, way) for each code and its ancestors up to ``stride`` links above.
 

@@ -56,8 +56,9 @@ def test_greedy_near_duplicates(spark, seed):
         items.append((i, "".join(t).strip(), rng.random() < 0.2))
     items += [(100 + i, *items[i][1:]) for i in range(5)]
     df = spark.createDataFrame([("g", i, " " + t.upper() + " ", g, "k") for i, t, g in items], "grp string, ord long, txt string, guard boolean, _keep2 string")
-    got = dedup.greedy_near_duplicates(df, "grp", "txt", "ord", 0.82, "guard")
-    assert sorted(r["ord"] for r in got.collect()) == greedy(items)
+    for block in (2000, 9):  # one walk; blocks against blocks
+        got = dedup.greedy_near_duplicates(df, "grp", "txt", "ord", 0.82, "guard", block=block)
+        assert sorted(r["ord"] for r in got.collect()) == greedy(items)
 
 
 def test_greedy_edges(spark):

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from alinea.operators import hierarchy
 from alinea.operators.hierarchy import ancestor_pairs, resolve_hierarchy
 
 LINKS = "child string, parent string, parent_code string, code string"
@@ -56,3 +57,8 @@ def test_several_parents_and_hot_parent(spark, rows):
 def test_empty_and_only_cycles(spark, rows):
     assert tree(spark, [], 2).count() == 0
     assert rows(tree(spark, [("a", "b"), ("b", "a")], 2), "code", "root_code", "depth") == [("a", "CYCLE", -1), ("b", "CYCLE", -1)]
+
+
+def test_further_parents(spark, rows):
+    links = spark.createDataFrame([("c", "b"), ("c", "a"), ("c", "a"), ("c", None), ("d", "c"), (None, "z")], "child string, parent string")
+    assert rows(hierarchy.further_parents(links, "child", "parent")) == [("c", "a", "b")]
