@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from alinea.workspace import materialize
@@ -100,6 +101,12 @@ def annotate(df: DataFrame, key: str, fields: Sequence[str], backend: Backend, b
     return df.filter(F.col(key).isNotNull()).select(key, *fields).mapInPandas(run, f"{key} {kind}, reply string, error string")
 
 
+def fill(template: str, **values: Column) -> Column:
+    """A prompt: the template with columns in place of its {names}; a null value gives a null prompt."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*(values[p] if i % 2 else F.lit(p) for i, p in enumerate(parts)))
+
+
 def replay_backend(recorded: dict[str, object]) -> Backend:
     """Replies from a record, for tests and reruns without a model."""
     return lambda batch: {r["key"]: recorded[r["key"]] for r in batch if r["key"] in recorded}

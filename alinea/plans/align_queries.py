@@ -12,9 +12,6 @@ from alinea.plans import sql
 from alinea.sources.tables import table
 from alinea.workspace import materialize
 
-#: Similarity from which the SQL of the candidate matches lists them; the queries have no floor.
-LEAST = 0.6
-
 
 def _left(s: SparkSession, d: str) -> DataFrame:
     rows = table(s, d, "bncc_components", "row_id", "habilidade_code", "component_id", "description")
@@ -100,9 +97,10 @@ def semi_join_known_ids(s: SparkSession, d: str) -> DataFrame:
 
 
 def anti_join_uncovered(s: SparkSession, d: str) -> DataFrame:
-    """Standards of the match table without components."""
-    std = table(s, d, "bncc_cc_standard_matches", "cc_standard_id").select(id_bytes(F.col("cc_standard_id")).alias("right_id")).distinct()
-    return std.join(_right(s, d).filter("target is not null").select("right_id").distinct(), "right_id", "left_anti").select(id_text(F.col("right_id")).alias("standard_id"))
+    """Codes of the standards that no match row scores."""
+    codes = table(s, d, "bncc_standards", "bncc_code").select(clean_code(F.col("bncc_code")).alias("bncc_code")).filter("bncc_code is not null").distinct()
+    scored = table(s, d, "bncc_cc_standard_matches", "habilidade_code").select(clean_code(F.col("habilidade_code")).alias("bncc_code"))
+    return codes.join(scored, "bncc_code", "left_anti")
 
 
 def left_join_attach(s: SparkSession, d: str) -> DataFrame:
@@ -354,11 +352,16 @@ c AS (SELECT side, id, term, count(*) AS n FROM g GROUP BY ALL),
 idf AS (SELECT term, ln((1.0 + (SELECT count(*) FROM (SELECT DISTINCT side, id FROM c))) / (1.0 + count(*))) + 1.0 AS idf FROM c GROUP BY term),
 x AS (SELECT side, id, term, (1.0 + ln(CAST(n AS DOUBLE))) * idf AS raw FROM c JOIN idf USING (term)),
 v AS (SELECT side, id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY side, id)) AS weight FROM x),
-k AS (SELECT a.id AS left_id, b.id AS right_id, floor(sum(a.weight * b.weight) * 1e6 + 0.5) / 1e6 AS similarity FROM v a JOIN v b ON a.side = 'l' AND b.side = 'r' AND a.term = b.term GROUP BY ALL HAVING similarity >= LEAST_SIMILARITY),
+z AS (SELECT a.id AS left_id, b.id AS right_id, sum(a.weight * b.weight) AS dot FROM v a JOIN v b ON a.side = 'l' AND b.side = 'r' AND a.term = b.term GROUP BY ALL),
+ids AS (SELECT DISTINCT side, id FROM v),
+k AS (SELECT a.id AS left_id, b.id AS right_id, floor(coalesce(dot, 0.0) * 1e6 + 0.5) / 1e6 AS similarity FROM ids a JOIN ids b ON a.side = 'l' AND b.side = 'r' LEFT JOIN z ON z.left_id = a.id AND z.right_id = b.id),
 o AS (SELECT left_id, right_id, similarity, CAST(row_number() OVER (PARTITION BY left_id ORDER BY similarity DESC, right_id) AS INTEGER) AS place FROM k)
 """
 )
-_TFIDF = _TFIDF.replace("LEAST_SIMILARITY", str(LEAST))
+#: Every left component with its nearest one; those without words or counterpart have tier none.
+_DECIDED = """, decided AS (SELECT le.e AS bncc_component_id, right_id AS cc_component_id, similarity, CASE WHEN similarity >= 0.92 THEN 'merge' WHEN similarity >= 0.75 THEN 'link_regional' WHEN similarity >= 0.5 THEN 'link' ELSE 'none' END AS match_tier
+  FROM (SELECT DISTINCT e FROM l WHERE e IS NOT NULL) le LEFT JOIN (SELECT * FROM o WHERE place = 1) ON left_id = le.e)
+"""
 _FOLD = "translate(regexp_replace(lower({0}), '\\p{{M}}+', '', 'g'), 'áàâãäåéèêëíìîïóòôõöúùûüçñºª°', 'aaaaaaeeeeiiiiooooouuuucnoao')"
 
 
@@ -384,7 +387,7 @@ SELECT a AS habilidade_code, b AS prerequisite_code, n AS n_cc_sources, floor(sa
     "unlocks": f"WITH p AS ({_PRE}) SELECT pre AS code, CAST(count(DISTINCT code) AS INTEGER) AS n_unlocks, string_agg(DISTINCT code, ',' ORDER BY code) AS unlocks FROM p WHERE pre IS NOT NULL GROUP BY pre",
     "grade_inversions": f"WITH p AS (SELECT DISTINCT code, pre FROM ({_PRE}) WHERE pre IS NOT NULL) SELECT code, pre AS prerequisite_code, {_level('code')} AS level, {_level('pre')} AS prerequisite_level, {_in_order('code', 'pre')} AS in_order, {_in_order('code', 'pre', True)} AS in_order_by_first_year FROM p",
     "semi_join_known_ids": _SCORED + "SELECT match_id FROM m WHERE e IN (SELECT e FROM l WHERE e IS NOT NULL) AND t IN (SELECT t FROM r WHERE t IS NOT NULL)",
-    "anti_join_uncovered": _SCORED + f"SELECT DISTINCT {sql.uid('cc_standard_id')} AS standard_id FROM bncc_cc_standard_matches WHERE {sql.uid('cc_standard_id')} NOT IN (SELECT s FROM r WHERE t IS NOT NULL AND s IS NOT NULL)",
+    "anti_join_uncovered": f"SELECT DISTINCT {sql.code('bncc_code')} AS bncc_code FROM bncc_standards WHERE {sql.code('bncc_code')} NOT IN (SELECT {sql.code('habilidade_code')} FROM bncc_cc_standard_matches WHERE {sql.code('habilidade_code')} IS NOT NULL)",
     "left_join_attach": _SCORED + "SELECT a.source, count(*) AS components, count(b.n) AS matched, CAST(coalesce(sum(b.n), 0) AS BIGINT) AS match_rows FROM (SELECT t, min(source) AS source FROM r WHERE t IS NOT NULL GROUP BY t) a LEFT JOIN (SELECT t, count(*) AS n FROM m WHERE t IS NOT NULL GROUP BY t) b USING (t) GROUP BY a.source",
     "lookup_last_wins": _SCORED + "SELECT e AS bncc_component_id, t AS cc_component_id, tier, match_id FROM lm",
     "lookup_first_wins": _SCORED + "SELECT t AS component_id, description, row_id FROM r WHERE t IS NOT NULL QUALIFY row_number() OVER (PARTITION BY t ORDER BY row_id) = 1",
@@ -409,7 +412,7 @@ CASE WHEN code IS NULL THEN NULL WHEN su = 'EF' THEN CASE WHEN st = 'EI' THEN '{
     "resume_todo": "SELECT doc_id, source, CAST((row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 20 AS INTEGER) AS batch FROM (SELECT doc_id, coalesce(source, '') AS source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM doc_labels))",
     "tfidf_weights": _TFIDF + "SELECT side, id AS doc_id, count(*) AS terms, floor(sum(weight * weight) * 1e6 + 0.5) / 1e6 AS norm, max(floor(weight * 1e6 + 0.5) / 1e6) AS top_weight FROM v GROUP BY side, id",
     "tfidf_topk": _TFIDF + "SELECT left_id, right_id, similarity, place FROM o WHERE place <= 20",
-    "auto_merge": _TFIDF + "SELECT left_id AS bncc_component_id, right_id AS cc_component_id, similarity, CASE WHEN similarity >= 0.92 THEN 'merge' WHEN similarity >= 0.75 THEN 'link_regional' WHEN similarity >= 0.5 THEN 'link' ELSE 'none' END AS match_tier FROM o WHERE place = 1",
+    "auto_merge": _TFIDF + _DECIDED + "SELECT bncc_component_id, cc_component_id, similarity, match_tier FROM decided",
     "cosine_topk_blocked": """WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings), n AS (SELECT *, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM e),
 k AS (SELECT a.vec_id AS left_id, b.vec_id AS right_id, floor(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) / (a.norm * b.norm) * 1e6 + 0.5) / 1e6 AS similarity FROM n a JOIN n b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0)
 SELECT left_id, right_id, similarity, place FROM (SELECT *, CAST(row_number() OVER (PARTITION BY left_id ORDER BY similarity DESC, right_id) AS INTEGER) AS place FROM k) WHERE place <= 5""",

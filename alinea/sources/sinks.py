@@ -15,7 +15,8 @@ def write_csv(df: DataFrame, path: str, mark: bool = True) -> None:
     """CSV with a header, quoted line breaks and, with ``mark``, a byte order mark at the start of each file."""
     first = df.columns[0]
     out = df.withColumnRenamed(first, "﻿" + first) if mark else df
-    out.write.mode("overwrite").option("header", True).option("escape", '"').option("quoteAll", False).csv(path)
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}  # texts keep theirs
+    out.write.mode("overwrite").option("header", True).option("escape", '"').options(**blanks).csv(path)
 
 
 def append_batch(df: DataFrame, path: str, batch_id: str) -> None:

@@ -20,7 +20,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return own
 
 
-def _app_dir(spark: SparkSession) -> str:
+def folder(spark: SparkSession) -> str:
+    """This application's folder in the shared one."""
     return f"{checkpoint_dir(spark)}/alinea/{spark.sparkContext.applicationId}"
 
 
@@ -31,7 +32,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     and the result is columnar, compressed and sized, so that later joins are planned by real sizes.
     """
     spark = df.sparkSession
-    path = f"{_app_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -39,5 +40,5 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 def clear(spark: SparkSession) -> None:
     """Delete this application's intermediate tables; call it when all results have been written."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(_app_dir(spark))
+    path = jvm.org.apache.hadoop.fs.Path(folder(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

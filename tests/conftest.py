@@ -20,6 +20,9 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    from alinea.workspace import clear
+
+    clear(session)
     session.stop()
 
 
