@@ -12,21 +12,26 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from alinea.functions.clean import strip
 from alinea.workspace import materialize
 
 ROOT = "document"
 
 
-def read_document(payload: Column, wraps: int = 2) -> Column:
+def _bare(text: Column) -> Column:
+    return F.regexp_replace(text, r"^[\s\x{feff}]+", "")
+
+
+def read_document(payload: Column) -> Column:
     """The payload as a variant; null if it isn't readable JSON.
 
-    A byte order mark is dropped; JSON that is wrapped as a JSON string, up to ``wraps`` times, is
-    unwrapped. Values other than an object at the top count as unreadable.
+    A byte order mark is dropped. JSON that is wrapped as a JSON string is unwrapped as often as it is
+    wrapped: each time doubles the escape signs, so the length of the text bounds how often that can be.
     """
-    v = F.try_parse_json(F.regexp_replace(payload, r"^\x{feff}", ""))
-    for _ in range(wraps):
-        v = F.when(F.schema_of_variant(v) == "STRING", F.try_parse_json(F.try_variant_get(v, "$", "string"))).otherwise(v)
-    return v
+    text = _bare(payload)
+    most = F.when(text.startswith('"'), F.sequence(F.lit(1), F.ceil(F.log2(F.length(text))).cast("int") + 2)).otherwise(F.array().cast("array<int>"))
+    unwrapped = lambda t: F.coalesce(_bare(F.try_variant_get(F.try_parse_json(t), "$", "string")), F.lit(""))
+    return F.try_parse_json(F.aggregate(most, text, lambda t, _: F.when(t.startswith('"'), unwrapped(t)).otherwise(t)))
 
 
 def _members(v: Column) -> Column:
@@ -76,7 +81,15 @@ class Shape:
 @dataclass
 class Shredded:
     shape: Shape
-    levels: list[DataFrame]
+    levels: list[tuple[set[str], DataFrame]]
+    documents: DataFrame
+
+    def rejects(self) -> DataFrame:
+        """(doc_id, reason) of each payload that gave no rows: ``empty``, ``unreadable`` or ``no object``."""
+        v = read_document(F.col("payload"))
+        blank = F.coalesce(strip(F.col("payload")) == "", F.lit(True))
+        reason = F.when(blank, "empty").when(v.isNull(), "unreadable").when(_members(v).isNull(), "no object")
+        return self.documents.select("doc_id", reason.alias("reason")).filter("reason is not null")
 
     def table(self, name: str, *fields: str) -> DataFrame:
         """The table of an element: doc_id, discriminating key, own position, parent link, columns.
@@ -85,40 +98,48 @@ class Shredded:
         doc_id and entry they are its key. The parent's key is the same without the last of each, as
         ``parent`` names its element. ``value`` is the text of an element given as a bare scalar.
         """
-        rows = None
-        for level in self.levels:
-            part = level.filter(F.col("element") == name)
-            rows = part if rows is None else rows.unionByName(part)
+        # Only the levels that hold the element are read; one that none holds has an empty table.
+        parts = [level.filter(F.col("element") == name) for names, level in self.levels if name in names] or [self.levels[0][1].filter(F.lit(False))]
+        rows = parts[0]
+        for more in parts[1:]:
+            rows = rows.unionByName(more)
         paths = self.shape.inlined(name)
         paths += [(f,) for f in fields if (f,) not in paths]
         columns = [F.try_variant_get("node", "$" + "".join(f"['{p}']" for p in path), "string").alias("_".join(path)) for path in paths]
         return rows.select("doc_id", "entry", "element", "parent", "path", "places", F.element_at("places", -1).alias("position"), F.when(~F.col("is_object"), F.try_variant_get("node", "$", "string")).alias("value"), *columns)
 
 
-def shred(docs: DataFrame, doc_id: str, payload: str, entry: str = "entry", max_levels: int = 32) -> Shredded:
+def _lists(level: DataFrame) -> DataFrame:
+    """A level's rows (path, places, element, w, …): one per element of each list ``w``, with its place."""
+    listed = F.try_variant_get("w", "$", "array<variant>").isNotNull()
+    rows = level.select("doc_id", "entry", "element", "parent", "path", "places", listed.alias("listed"), F.posexplode(_items(F.col("w"))).alias("place", "node"))
+    rows = rows.withColumn("places", F.concat("places", F.array("place"))).drop("place")
+    # A variant null is SQL null as a string and VOID by schema; it holds a place but is no row.
+    return rows.withColumn("is_object", _members(F.col("node")).isNotNull()).filter(F.schema_of_variant("node") != "VOID")
+
+
+def shred(docs: DataFrame, doc_id: str, payload: str, entry: str = "entry", most_names: int = 10_000) -> Shredded:
     """Take apart ``payload``: level by level, each written once and read by the next.
 
     The members of the top object are entries of one kind, told apart by their key (column ``entry``
     of all tables; element name ``entry``). Lists are counted from 0 with every element; an object
     given without its list has position 0. Null elements keep their position but give no row.
-    Unreadable, null and blank payloads give no rows. The graph is read off all documents; only its
-    distinct edges, as many as there are member names, reach the driver. Documents nested deeper than
-    ``max_levels`` raise an error rather than lose rows.
+    Unreadable, null and blank payloads give no rows; ``Shredded.rejects`` lists them. The graph is
+    read off all documents; only its distinct edges, as many as there are member names, reach the
+    driver. More than ``most_names`` of them at one level raise an error: an object whose members are
+    keyed by data belongs at the top.
     """
-    top = docs.select(F.col(doc_id).alias("doc_id"), read_document(F.col(payload)).alias("v"))
-    members = top.select("doc_id", F.explode(_members(F.col("v"))).alias("entry", "w"))
-    level = members.select("doc_id", "entry", F.lit(entry).alias("element"), F.lit(ROOT).alias("parent"), F.posexplode(_items(F.col("w"))).alias("place", "node"), (F.try_variant_get("w", "$", "array<variant>").isNotNull()).alias("listed"))
-    level = level.select("doc_id", "entry", "element", "parent", F.array("element").alias("path"), F.array("place").alias("places"), "node", "listed")
+    read = docs.select(F.col(doc_id).alias("doc_id"), F.col(payload).alias("payload"))
+    top = read.select("doc_id", F.explode(_members(read_document(F.col("payload")))).alias("entry", "w"))
+    level = top.select("doc_id", "entry", F.lit(entry).alias("element"), F.lit(ROOT).alias("parent"), F.array(F.lit(entry)).alias("path"), F.array().cast("array<int>").alias("places"), "w")
     shape, levels = Shape(), []
-    for depth in range(max_levels + 1):
-        if depth == max_levels:
-            raise ValueError(f"documents are nested deeper than {max_levels} levels")
-        # A variant null is SQL null as a string and VOID by schema; it holds a place but is no row.
-        live = level.withColumn("is_object", _members(F.col("node")).isNotNull()).filter(F.schema_of_variant("node") != "VOID")
-        table = materialize(live, f"level{depth}")
-        edges = table.groupBy("parent", "element").agg(F.max("listed").alias("listed"), F.max("is_object").alias("is_object")).collect()
+    while True:
+        table = materialize(_lists(level), f"level{len(levels)}")
+        edges = table.groupBy("parent", "element").agg(F.max("listed").alias("listed"), F.max("is_object").alias("is_object")).limit(most_names + 1).collect()
+        if len(edges) > most_names:
+            raise ValueError(f"more than {most_names} member names at one level")
         if edges or not levels:
-            levels.append(table)
+            levels.append(({e["element"] for e in edges}, table))
         if not edges:
             break
         for e in edges:
@@ -128,6 +149,5 @@ def shred(docs: DataFrame, doc_id: str, payload: str, entry: str = "entry", max_
             if e["is_object"]:
                 shape.objects.add(e["element"])
         inner = table.filter("is_object").select("doc_id", "entry", F.col("element").alias("parent"), "path", "places", F.explode(_members(F.col("node"))).alias("element", "w"))
-        level = inner.select("doc_id", "entry", "element", "parent", F.concat("path", F.array("element")).alias("path"), "places", (F.try_variant_get("w", "$", "array<variant>").isNotNull()).alias("listed"), F.posexplode(_items(F.col("w"))).alias("place", "node"))
-        level = level.select("doc_id", "entry", "element", "parent", "path", F.concat("places", F.array("place")).alias("places"), "node", "listed")
-    return Shredded(shape, levels)
+        level = inner.withColumn("path", F.concat("path", F.array("element")))
+    return Shredded(shape, levels, read)

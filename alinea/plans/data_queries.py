@@ -115,6 +115,11 @@ def p6_year_labels(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(F.col("doc_id").alias("raw_id"), F.col("entry").alias("discipline"), F.get("places", F.lit(1)).alias("year_no"), F.col("position").alias("label_no"), F.col("value").alias("label"))
 
 
+def p6_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Payloads that give no rows, with the reason."""
+    return _payloads(spark, d).rejects().withColumnRenamed("doc_id", "raw_id")
+
+
 QUERIES = {
     "p3_found": p3_found,
     "p3_paths": p3_paths,
@@ -127,6 +132,7 @@ QUERIES = {
     "p6_units": p6_units,
     "p6_objects": p6_objects,
     "p6_year_labels": p6_year_labels,
+    "p6_rejects": p6_rejects,
 }
 
 _TREE = f"""
@@ -193,5 +199,7 @@ SELECT row_id, CASE WHEN first IS NULL THEN 'missing' ELSE 'late' END AS kind, s
     "p6_years": _NESTED + "SELECT raw_id, discipline, year_no FROM yy",
     "p6_units": _NESTED + "SELECT raw_id, discipline, year_no, unit_no, CASE WHEN json_type(v) = 'OBJECT' THEN json_extract_string(v, '$.nome_unidade') END AS unit_name FROM uu",
     "p6_objects": _NESTED + "SELECT raw_id, discipline, year_no, unit_no, object_no, CASE WHEN json_type(v) = 'OBJECT' THEN json_extract_string(v, '$.nome_objeto') END AS object_name FROM oo",
+    "p6_rejects": _NESTED + """SELECT raw_id, CASE WHEN p IS NULL OR trim(p, ' ' || chr(9) || chr(10) || chr(13) || chr(160)) = '' THEN 'empty' WHEN NOT json_valid(p) THEN 'unreadable' ELSE 'no object' END AS reason FROM b
+WHERE p IS NULL OR NOT json_valid(p) OR json_type(p) <> 'OBJECT'""",
     "p6_year_labels": _NESTED + f"SELECT raw_id, discipline, year_no, l.no AS label_no, json_extract_string(l.v, '$') AS label FROM (SELECT raw_id, discipline, year_no, {_items("json_extract(v, '$.nome_ano')")} AS l FROM yy WHERE json_type(v) = 'OBJECT' AND json_exists(v, '$.nome_ano')) WHERE json_type(l.v) <> 'NULL'",
 }

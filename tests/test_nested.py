@@ -31,6 +31,24 @@ def test_wrapped_broken_and_empty(spark, rows):
     assert [r[0] for r in rows(p.table("b"), "doc_id")] == [0, 0, 1, 1, 10, 10, 11, 11]
 
 
+def test_wrapped_many_times_and_rejects(spark, rows):
+    payloads, text = [], json.dumps({"a": {"b": 1}})
+    for _ in range(6):
+        payloads.append(text)
+        text = json.dumps(text)
+    p = parts(spark, [*payloads, None, " ", "{", "[1]", json.dumps(json.dumps("no JSON in here")), json.dumps(json.dumps(json.dumps("nor here")))])
+    assert [r[0] for r in rows(p.table("entry"), "doc_id")] == [0, 1, 2, 3, 4, 5]
+    assert rows(p.rejects(), "doc_id", "reason") == [(10, "unreadable"), (11, "unreadable"), (6, "empty"), (7, "empty"), (8, "unreadable"), (9, "no object")]
+
+
+def test_deep_documents(spark):
+    deep = {"end": "x"}
+    for i in range(40):
+        deep = {f"n{i}": deep}
+    p = parts(spark, [json.dumps({"a": deep})])
+    assert p.table("entry").count() == 1 and len(p.levels) >= 40
+
+
 def test_empty_table_and_recursion(spark, rows):
     assert parts(spark, []).table("entry").count() == 0
     p = parts(spark, [json.dumps({"a": {"node": {"name": "x", "node": {"name": "y"}}}})])
