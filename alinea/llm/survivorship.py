@@ -38,6 +38,8 @@ _MISREAD = {
     "u": r"\x{99}-\x{9c}\x{b9}-\x{bc}\x{2122}\x{161}\x{203a}\x{153}",
 }
 _TAG = r"<[^<>]*>"
+#: Pairs of words up to which they are broadcast.
+FEW_PAIRS = 100_000
 
 
 def plain_words(text: Column) -> Column:
@@ -160,10 +162,17 @@ def repair_spelling(texts: DataFrame, text_id: str, words: str) -> DataFrame:
     slips = materialize(spots.join(candidates, "word"), "spots")
     left, right = F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, F.lit(2), F.size(words))
     pairs = texts.filter(F.size(words) > 1).select(F.explode(F.arrays_zip(left.alias("a"), right.alias("b"))).alias("x")).select("x.a", "x.b")
-    # Neighbours are counted before the shuffle, and only those that a candidate would have are kept.
+    # Only neighbours that a candidate would have count: few of those are broadcast, so that other pairs
+    # are dropped where they are; else all pairs are counted before the shuffle.
     asked = slips.select(F.explode(F.array(F.struct(F.col("before").alias("a"), F.col("fix").alias("b")), F.struct(F.col("fix").alias("a"), F.col("after").alias("b")))).alias("x"))
     asked = asked.select("x.a", "x.b").filter("a is not null and b is not null").distinct()
-    pairs = materialize(pairs.groupBy("a", "b").agg(F.count("*").alias("c")).join(asked, ["a", "b"], "left_semi"), "neighbours")
+    asked = materialize(asked, "asked")
+    count = F.count("*").alias("c")
+    if asked.count() <= FEW_PAIRS:
+        pairs = pairs.join(F.broadcast(asked), ["a", "b"], "left_semi").groupBy("a", "b").agg(count)
+    else:
+        pairs = pairs.groupBy("a", "b").agg(count).join(asked, ["a", "b"], "left_semi")
+    pairs = materialize(pairs, "neighbours")
     scored = slips.join(pairs.toDF("before", "fix", "c1"), ["before", "fix"], "left").join(pairs.toDF("fix", "after", "c2"), ["fix", "after"], "left")
     fit = F.struct(F.coalesce("c1", F.lit(0)) + F.coalesce("c2", F.lit(0)), "n_fix", "fix")
     chosen = scored.groupBy(text_id, "pos").agg(F.max_by("fix", fit).alias("fix"))
@@ -188,9 +197,15 @@ def complete_cut_texts(keys: DataFrame, block: int = 6) -> DataFrame:
     size = F.least(F.size(words), F.lit(block))
 
     def longer_texts(cut: DataFrame, longer: DataFrame) -> DataFrame:
-        lengths = longer.select("part", "key", "n", F.explode(F.sequence(F.lit(1), size)).alias("length"))
-        lengths = lengths.select("part", opening(F.col("length")).alias("opening"), "length", F.col("key").alias("longer"), "n")
-        met = cut.select("part", opening(size).alias("opening"), size.alias("length"), "key").join(lengths, ["part", "length", "opening"])
+        short = cut.select("part", size.alias("length"), "key")
+        lengths = [F.lit(r["length"]) for r in short.select("length").distinct().collect()]  # at most ``block``
+        if not lengths:
+            return cut.select("part", "key", F.col("key").alias("longer"), "n").limit(0)
+        # Openings meet by their hash; that the longer text begins with the whole cut one is checked then.
+        at = lambda n: F.xxhash64(n, opening(n)).alias("opening")
+        long = longer.select("part", "n", F.col("key").alias("longer"), F.explode(F.filter(F.array(*lengths), lambda n: n <= F.size(words))).alias("length"), words.alias("w"))
+        long = long.select("part", F.xxhash64("length", F.array_join(F.slice("w", F.lit(1), F.col("length")), " ")).alias("opening"), "longer", "n")
+        met = short.select("part", "key", at(size)).join(long, ["part", "opening"])
         return met.filter(F.col("longer").startswith(F.concat("key", F.lit(" ")))).select("part", "key", "longer", "n")
 
     best = F.min_by("longer", F.struct(-F.col("n"), F.col("longer"))).alias("longer")
