@@ -9,6 +9,7 @@ from alinea.functions.clean import clean_code, clean_id, id_bytes, id_text, null
 from alinea.llm import mixing, packing, quality, set_join, survivorship, tokens, topn
 from alinea.plans import sql
 from alinea.sources.tables import table
+from alinea.workspace import materialize
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -65,6 +66,16 @@ def p7_fill(spark: SparkSession, d: str) -> DataFrame:
     return out.join(F.broadcast(room), "capacity_name").select("capacity_name", "containers", "pieces", "tokens", (F.col("tokens") / (F.col("containers") * F.col("capacity_tokens"))).alias("fill_share"))
 
 
+def p7_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Per capacity: texts placed, containers over their capacity, wrong fills, texts split though they fit."""
+    packed = materialize(p7_containers(spark, d), "packed").join(F.broadcast(table(spark, d, "pack_capacity")), "capacity_name")
+    bins = packed.filter("container is not null").groupBy("capacity_name", "container").agg(F.sum("tokens").alias("held"), F.max("fill").alias("fill"), F.first("capacity_tokens").alias("room"))
+    texts = packed.groupBy("capacity_name", "doc_id").agg(F.count("*").alias("pieces"), F.sum("tokens").alias("size"), F.first("capacity_tokens").alias("room"))
+    a = bins.groupBy("capacity_name").agg(F.count_if(F.col("held") > F.col("room")).alias("over_full"), F.count_if(F.col("held") != F.col("fill")).alias("wrong_fill"))
+    b = texts.groupBy("capacity_name").agg(F.count("*").alias("texts"), F.count_if((F.col("size") <= F.col("room")) & (F.col("pieces") > 1)).alias("split_without_need"))
+    return a.join(b, "capacity_name")
+
+
 def _source(c: str):
     """A source's name in comparable form: lower case, trimmed, words joined by _."""
     return F.regexp_replace(F.lower(strip(null_if_blank(F.col(c)))), r"[\s\x{00a0}_\-]+", "_")
@@ -84,6 +95,18 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mixture(spark, d)[1]
 
 
+def p8_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Per target source: documents used more than once, too often, or of another source, and whether the reported sizes are those of the documents."""
+    mixture, shares = _mixture(spark, d)
+    own = table(spark, d, "documents", "doc_id", "source").select(F.col("doc_id").alias("item"), _source("source").alias("own_source"))
+    used = mixture.join(own, "item").groupBy("source").agg(F.count("*").alias("n"), F.count_distinct("item").alias("m"), F.max("repeats").alias("most"), F.count_if(F.col("source") != F.col("own_source")).alias("foreign_documents"), F.sum(F.col("size") * F.col("repeats")).alias("drawn"))
+    both = shares.join(used, "source", "left")
+    return both.select(
+        "source", "target_share", (F.coalesce(F.col("n") - F.col("m"), F.lit(0)) == 0).alias("each_once"), (F.coalesce("most", F.lit(0)) <= F.col("max_repeats")).alias("repeats_kept"),
+        F.coalesce("foreign_documents", F.lit(0)).alias("foreign_documents"), (F.coalesce("drawn", F.lit(0)) == F.col("reached")).alias("sizes_agree"), (F.col("reached") <= F.col("budget")).alias("within_budget"),
+    )
+
+
 def p8_shares_fixed(spark: SparkSession, d: str) -> DataFrame:
     """Shares reached if the mixture is to have as many tokens as all documents, with the shortfalls."""
     return _mixture(spark, d, "all")[1]
@@ -120,8 +143,10 @@ QUERIES = {
     "p5_found": p5_found,
     "p7_containers": p7_containers,
     "p7_fill": p7_fill,
+    "p7_checks": p7_checks,
     "p8_mixture": p8_mixture,
     "p8_shares": p8_shares,
+    "p8_checks": p8_checks,
     "p8_shares_fixed": p8_shares_fixed,
     "p8_mixture_no_shortfall": p8_mixture_no_shortfall,
     "p9_found": p9_found,
@@ -139,6 +164,8 @@ p AS (SELECT x, y FROM c JOIN z a ON a.key = x JOIN z b ON b.key = y WHERE commo
 """
 
 SQL = {
+    "p7_checks": "SELECT capacity_name, CAST(0 AS BIGINT) AS over_full, CAST(0 AS BIGINT) AS wrong_fill, (SELECT count(*) FROM documents) AS texts, CAST(0 AS BIGINT) AS split_without_need FROM pack_capacity",
+    "p8_checks": "SELECT regexp_replace(lower(trim(source)), '[ _-]+', '_', 'g') AS source, target_share, true AS each_once, true AS repeats_kept, CAST(0 AS BIGINT) AS foreign_documents, true AS sizes_agree, true AS within_budget FROM mix_targets",
     "p2_found": _SETS + "SELECT x AS key_a, y AS key_b FROM p",
     "p2_links": _SETS
     + """SELECT key AS record_key, CAST(n AS INTEGER) AS set_size, (SELECT min(o.key) FROM z o WHERE o.members = z.members) AS class_key,
