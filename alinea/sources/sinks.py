@@ -7,6 +7,7 @@ from xml.sax.saxutils import escape
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from alinea.operators.annotate import todo
 
@@ -24,13 +25,16 @@ def append_batch(df: DataFrame, path: str, batch_id: str) -> None:
     df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def remaining(spark: SparkSession, df: DataFrame, path: str, key: str, but_batch: str | None = None) -> DataFrame:
     """Rows without a result in the batches under ``path``, or in any but ``but_batch``; all rows if there are none yet."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+    if not exists(spark, path):
         return df
-    done = spark.read.parquet(path)
+    done = spark.read.schema(T.StructType([df.schema[key], T.StructField("batch_id", T.StringType())])).parquet(path)
     return todo(df, done.filter(F.col("batch_id") != but_batch) if but_batch else done, key)
 
 

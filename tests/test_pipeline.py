@@ -133,6 +133,20 @@ def test_stream_resumes(spark, tmp_path):
     df.filter("id >= 2").write.mode("append").parquet(src)
     annotate_stream(spark, src, df.schema, "id", mark, out, cp).awaitTermination()
     assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 4]
+    heal = lambda b: b.withColumn("reply", F.upper("t")).withColumn("error", F.lit(None).cast("string"))
+    annotate_stream(spark, src, df.schema, "id", heal, out, cp).awaitTermination()
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 4, 5]
+
+
+def test_stream_after_an_outage(spark, tmp_path):
+    src, out, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    df = spark.createDataFrame([(i, f"t{i}") for i in range(4)], "id long, t string")
+    df.write.parquet(src)
+    for error, want in (("down", []), (None, [0, 1, 2, 3]), (None, [0, 1, 2, 3])):
+        reply = lambda b, e=error: b.withColumn("reply", F.upper("t")).withColumn("error", F.lit(e).cast("string"))
+        annotate_stream(spark, src, df.schema, "id", reply, out, cp).awaitTermination()
+        got = spark.read.schema("id long, reply string").parquet(out)
+        assert sorted(r["id"] for r in got.collect()) == want
 
 
 def test_sinks(spark, tmp_path):
