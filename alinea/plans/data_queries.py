@@ -63,7 +63,7 @@ def p4_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_composite(spark: SparkSession, d: str) -> DataFrame:
-    """Prerequisite rows whose pair (standard, prerequisite standard) no match row scored, by null mask."""
+    """Prerequisite rows whose pair (habilidade, source standard) no match row scored, by null mask."""
     refs = table(spark, d, "bncc_prerequisites", "row_id", "habilidade_code", "source_cc_standard_id", "created_at")
     refs = refs.select("row_id", "created_at", clean_code(F.col("habilidade_code")).alias("hab"), id_bytes(F.col("source_cc_standard_id")).alias("std"))
     targets = table(spark, d, "bncc_cc_standard_matches", "habilidade_code", "cc_standard_id", "scored_at")

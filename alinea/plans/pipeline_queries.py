@@ -233,7 +233,7 @@ def tfidf_topk_blocked(s: SparkSession, d: str) -> DataFrame:
 
 
 def area_lists(s: SparkSession, d: str) -> DataFrame:
-    """Per habilidade the sorted areas of the standards that its best matches name, in one column."""
+    """Per code the sorted subjects that its records state, in one column."""
     rows = table(s, d, "bncc_translated", "bncc_code", "subject").select(clean_code(F.col("bncc_code")).alias("code"), null_if_blank(F.col("subject")).alias("subject")).filter("code is not null and subject is not null")
     return rows.groupBy("code").agg(F.array_join(F.sort_array(F.collect_set("subject")), ", ").alias("subjects"))
 
