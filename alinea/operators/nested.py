@@ -16,6 +16,8 @@ from alinea.functions.clean import strip
 from alinea.workspace import materialize
 
 ROOT = "document"
+#: Levels that one stage walks down.
+STRIDE = 7
 
 
 def _bare(text: Column) -> Column:
@@ -81,8 +83,10 @@ class Shape:
 @dataclass
 class Shredded:
     shape: Shape
-    levels: list[tuple[set[str], DataFrame]]
+    #: The deepest level at which an element was seen; the top is level 1.
+    levels: dict[str, int]
     documents: DataFrame
+    top: str
 
     def rejects(self) -> DataFrame:
         """(doc_id, reason) of each payload that gave no rows: ``empty``, ``unreadable`` or ``no object``."""
@@ -98,56 +102,87 @@ class Shredded:
         doc_id and entry they are its key. The parent's key is the same without the last of each, as
         ``parent`` names its element. ``value`` is the text of an element given as a bare scalar.
         """
-        # Only the levels that hold the element are read; one that none holds has an empty table.
-        parts = [level.filter(F.col("element") == name) for names, level in self.levels if name in names] or [self.levels[0][1].filter(F.lit(False))]
-        rows = parts[0]
-        for more in parts[1:]:
-            rows = rows.unionByName(more)
+        # The graph says what may hold the element and how deep: only that is walked through.
+        through = sorted(self.shape.ancestors(name) | {name})
+        rows = _entries(self.documents, self.top)
+        for level in range(1, self.levels.get(name, 0) + 1):
+            rows = _descend(rows, name, through)
+            if level % STRIDE == 0 and level < self.levels[name]:
+                rows = materialize(rows, f"below{level}")
+        rows = rows.filter("done")
         paths = self.shape.inlined(name)
         paths += [(f,) for f in fields if (f,) not in paths]
-        columns = [F.try_variant_get("node", "$" + "".join(f"['{p}']" for p in path), "string").alias("_".join(path)) for path in paths]
-        return rows.select("doc_id", "entry", "element", "parent", "path", "places", F.element_at("places", -1).alias("position"), F.when(~F.col("is_object"), F.try_variant_get("node", "$", "string")).alias("value"), *columns)
+        columns = [F.try_variant_get("w", "$" + "".join(f"['{p}']" for p in path), "string").alias("_".join(path)) for path in paths]
+        return rows.select("doc_id", "entry", "element", "parent", "path", "places", F.element_at("places", -1).alias("position"), F.when(~F.col("is_object"), F.try_variant_get("w", "$", "string")).alias("value"), *columns)
 
 
-def _lists(level: DataFrame) -> DataFrame:
-    """A level's rows (path, places, element, w, …): one per element of each list ``w``, with its place."""
-    listed = F.try_variant_get("w", "$", "array<variant>").isNotNull()
-    rows = level.select("doc_id", "entry", "element", "parent", "path", "places", listed.alias("listed"), F.posexplode(_items(F.col("w"))).alias("place", "node"))
-    rows = rows.withColumn("places", F.concat("places", F.array("place"))).drop("place")
-    # A variant null is SQL null as a string and VOID by schema; it holds a place but is no row.
-    return rows.withColumn("is_object", _members(F.col("node")).isNotNull()).filter(F.schema_of_variant("node") != "VOID")
+def _entries(docs: DataFrame, top: str) -> DataFrame:
+    """The members of each document's top object: where every walk begins."""
+    rows = docs.select("doc_id", F.explode(_members(read_document(F.col("payload")))).alias("entry", "w"))
+    no = F.lit(False)
+    return rows.select("doc_id", "entry", no.alias("done"), F.lit(ROOT).alias("parent"), F.lit(top).alias("element"), F.array(F.lit(top)).alias("path"), F.array().cast("array<int>").alias("places"), no.alias("listed"), no.alias("is_object"), "w")
+
+
+def _descend(rows: DataFrame, name: str | None = None, through: list[str] | None = None) -> DataFrame:
+    """One level down: the elements of every list ``w``, as done rows, and their members, to be walked next.
+
+    With a ``name`` only its elements become done rows, and only members in ``through`` are walked.
+    Done rows stay as they are.
+    """
+    rows = rows.withColumn("list", F.when(~F.col("done"), F.try_variant_get("w", "$", "array<variant>")))
+    listed = F.when(F.col("done"), F.col("listed")).otherwise(F.col("list").isNotNull())
+    keys = ["doc_id", "entry", "done", "parent", "element", "path"]
+    rows = rows.select(*keys, "places", "is_object", listed.alias("listed"), F.posexplode(F.coalesce("list", F.array("w"))).alias("place", "node"))
+    # A variant null holds a place but is no row.
+    rows = rows.filter(F.col("done") | ~F.is_variant_null("node"))
+    places = F.when(F.col("done"), F.col("places")).otherwise(F.concat("places", F.array("place")))
+    rows = rows.select(*keys, "is_object", "listed", "node", places.alias("places"), F.when(~F.col("done"), _members(F.col("node"))).alias("members"))
+    is_object = F.when(F.col("done"), F.col("is_object")).otherwise(F.col("members").isNotNull())
+
+    def row(done: bool, parent: Column, element: Column, path: Column, listed: Column, is_object: Column, w: Column) -> Column:
+        return F.struct(F.lit(done).alias("done"), parent.alias("parent"), element.alias("element"), path.alias("path"), listed.alias("listed"), is_object.alias("is_object"), w.alias("w"))
+
+    own = F.array(row(True, F.col("parent"), F.col("element"), F.col("path"), F.col("listed"), is_object, F.col("node")))
+    below = F.map_entries("members")
+    if name is not None:
+        own = F.when(F.col("done") | (F.col("element") == name), own).otherwise(F.slice(own, 1, 0))
+        below = F.filter(below, lambda m: m["key"].isin(*through))
+    no = F.lit(False)
+    inner = F.transform(below, lambda m: row(False, F.col("element"), m["key"], F.concat("path", F.array(m["key"])), no, no, m["value"]))
+    rows = rows.select("doc_id", "entry", "places", F.explode(F.concat(own, F.coalesce(inner, F.slice(own, 1, 0)))).alias("x"))
+    return rows.select("doc_id", "entry", "x.done", "x.parent", "x.element", "x.path", "places", "x.listed", "x.is_object", "x.w")
 
 
 def shred(docs: DataFrame, doc_id: str, payload: str, entry: str = "entry", most_names: int = 10_000) -> Shredded:
-    """Take apart ``payload``: level by level, each written once and read by the next.
+    """Take apart ``payload``: one walk over all documents gives the schema graph, each table is one more.
 
     The members of the top object are entries of one kind, told apart by their key (column ``entry``
     of all tables; element name ``entry``). Lists are counted from 0 with every element; an object
     given without its list has position 0. Null elements keep their position but give no row.
-    Unreadable, null and blank payloads give no rows; ``Shredded.rejects`` lists them. The graph is
-    read off all documents; only its distinct edges, as many as there are member names, reach the
-    driver. More than ``most_names`` of them at one level raise an error: an object whose members are
-    keyed by data belongs at the top.
+    Unreadable, null and blank payloads give no rows; ``Shredded.rejects`` lists them. A walk goes
+    ``STRIDE`` levels down in one stage; only documents that are deeper are written for the next. The
+    graph is read off all documents; only its distinct edges, as many as there are member names,
+    reach the driver. More than ``most_names`` of them in a stride raise an error: an object whose
+    members are keyed by data belongs at the top.
     """
     read = docs.select(F.col(doc_id).alias("doc_id"), F.col(payload).alias("payload"))
-    top = read.select("doc_id", F.explode(_members(read_document(F.col("payload")))).alias("entry", "w"))
-    level = top.select("doc_id", "entry", F.lit(entry).alias("element"), F.lit(ROOT).alias("parent"), F.array(F.lit(entry)).alias("path"), F.array().cast("array<int>").alias("places"), "w")
-    shape, levels = Shape(), []
+    shape, levels = Shape(), {}
+    front = _entries(read, entry)
     while True:
-        table = materialize(_lists(level), f"level{len(levels)}")
-        edges = table.groupBy("parent", "element").agg(F.max("listed").alias("listed"), F.max("is_object").alias("is_object")).limit(most_names + 1).collect()
+        rows = front
+        for _ in range(STRIDE):
+            rows = _descend(rows)
+        edges = rows.groupBy("done", "parent", "element", F.size("path").alias("level")).agg(F.max("listed").alias("listed"), F.max("is_object").alias("is_object")).limit(most_names + 1).collect()
         if len(edges) > most_names:
-            raise ValueError(f"more than {most_names} member names at one level")
-        if edges or not levels:
-            levels.append(({e["element"] for e in edges}, table))
-        if not edges:
-            break
+            raise ValueError(f"more than {most_names} member names within {STRIDE} levels")
         for e in edges:
-            shape.parents.setdefault(e["element"], set()).add(e["parent"])
-            if e["listed"]:
-                shape.repeated.add(e["element"])
-            if e["is_object"]:
-                shape.objects.add(e["element"])
-        inner = table.filter("is_object").select("doc_id", "entry", F.col("element").alias("parent"), "path", "places", F.explode(_members(F.col("node"))).alias("element", "w"))
-        level = inner.withColumn("path", F.concat("path", F.array("element")))
-    return Shredded(shape, levels, read)
+            if e["done"]:
+                levels[e["element"]] = max(e["level"], levels.get(e["element"], 0))
+                shape.parents.setdefault(e["element"], set()).add(e["parent"])
+                if e["listed"]:
+                    shape.repeated.add(e["element"])
+                if e["is_object"]:
+                    shape.objects.add(e["element"])
+        if all(e["done"] for e in edges):
+            return Shredded(shape, levels, read, entry)
+        front = materialize(rows.filter("not done"), "deeper")
