@@ -34,13 +34,9 @@ def read_document(payload: Column) -> Column:
     return F.try_parse_json(F.aggregate(most, text, lambda t, _: F.when(t.startswith('"'), unwrapped(t)).otherwise(t)))
 
 
-def _members(v: Column) -> Column:
-    return F.try_variant_get(v, "$", "map<string,variant>")
-
-
-def _items(v: Column) -> Column:
-    """The elements of a list; any other value as the only element of a list."""
-    return F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v))
+def _is_object(v: Column) -> Column:
+    """True for an object: any can be read as one without known members, and nothing else can."""
+    return F.try_variant_get(v, "$", "struct<`~`:string>").isNotNull()
 
 
 @dataclass
@@ -88,7 +84,7 @@ class Shredded:
         """(doc_id, reason) of each payload that gave no rows: ``empty``, ``unreadable`` or ``no object``."""
         v = read_document(F.col("payload"))
         blank = F.coalesce(strip(F.col("payload")) == "", F.lit(True))
-        reason = F.when(blank, "empty").when(v.isNull(), "unreadable").when(_members(v).isNull(), "no object")
+        reason = F.when(blank, "empty").when(v.isNull(), "unreadable").when(~_is_object(v), "no object")
         return self.documents.select("doc_id", reason.alias("reason")).filter("reason is not null")
 
     def table(self, name: str, *fields: str) -> DataFrame:
@@ -109,13 +105,25 @@ class Shredded:
         return rows.select("doc_id", "entry", "element", "parent", "path", "places", F.element_at("places", -1).alias("position"), F.when(~F.col("is_object"), F.try_variant_get("node", "$", "string")).alias("value"), *columns)
 
 
+def _exploded(rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` with (pos, key, value) of each item or member of a variant, one row of nulls for any other value.
+
+    The values are slices of the variant's bytes; a cast to a list or map would build each of them anew.
+    """
+    return rows.lateralJoin(rows.sparkSession.tvf.variant_explode_outer(F.col(column).outer()))
+
+
 def _lists(level: DataFrame) -> DataFrame:
     """A level's rows (path, places, element, w, …): one per element of each list ``w``, with its place."""
-    listed = F.try_variant_get("w", "$", "array<variant>").isNotNull()
-    rows = level.select("doc_id", "entry", "element", "parent", "path", "places", listed.alias("listed"), F.posexplode(_items(F.col("w"))).alias("place", "node"))
-    rows = rows.withColumn("places", F.concat("places", F.array("place"))).drop("place")
-    # A variant null is SQL null as a string and VOID by schema; it holds a place but is no row.
-    return rows.withColumn("is_object", _members(F.col("node")).isNotNull()).filter(F.schema_of_variant("node") != "VOID")
+    rows = _exploded(level, "w")
+    listed = F.col("pos").isNotNull() & F.col("key").isNull()
+    # Of an object only its first member's row stays, and stands for the object; an empty list has none.
+    empty_list = F.col("pos").isNull() & F.try_variant_get("w", "$", "array<variant>").isNotNull()
+    rows = rows.filter(listed | ((F.coalesce("pos", F.lit(0)) == 0) & ~empty_list))
+    place = F.when(listed, F.col("pos")).otherwise(0)
+    rows = rows.select("doc_id", "entry", "element", "parent", "path", F.concat("places", F.array(place)).alias("places"), listed.alias("listed"), F.when(listed, F.col("value")).otherwise(F.col("w")).alias("node"))
+    # A variant null holds a place but is no row.
+    return rows.filter(~F.is_variant_null("node")).withColumn("is_object", _is_object(F.col("node")))
 
 
 def shred(docs: DataFrame, doc_id: str, payload: str, entry: str = "entry", most_names: int = 10_000) -> Shredded:
@@ -130,7 +138,7 @@ def shred(docs: DataFrame, doc_id: str, payload: str, entry: str = "entry", most
     keyed by data belongs at the top.
     """
     read = docs.select(F.col(doc_id).alias("doc_id"), F.col(payload).alias("payload"))
-    top = read.select("doc_id", F.explode(_members(read_document(F.col("payload")))).alias("entry", "w"))
+    top = _exploded(read.select("doc_id", read_document(F.col("payload")).alias("document")), "document").filter("key is not null").select("doc_id", F.col("key").alias("entry"), F.col("value").alias("w"))
     level = top.select("doc_id", "entry", F.lit(entry).alias("element"), F.lit(ROOT).alias("parent"), F.array(F.lit(entry)).alias("path"), F.array().cast("array<int>").alias("places"), "w")
     shape, levels = Shape(), []
     while True:
@@ -148,6 +156,6 @@ def shred(docs: DataFrame, doc_id: str, payload: str, entry: str = "entry", most
                 shape.repeated.add(e["element"])
             if e["is_object"]:
                 shape.objects.add(e["element"])
-        inner = table.filter("is_object").select("doc_id", "entry", F.col("element").alias("parent"), "path", "places", F.explode(_members(F.col("node"))).alias("element", "w"))
-        level = inner.withColumn("path", F.concat("path", F.array("element")))
+        inner = _exploded(table.filter("is_object").select("doc_id", "entry", F.col("element").alias("parent"), "path", "places", "node"), "node").filter("key is not null")
+        level = inner.select("doc_id", "entry", "parent", F.concat("path", F.array("key")).alias("path"), "places", F.col("key").alias("element"), F.col("value").alias("w"))
     return Shredded(shape, levels, read)
