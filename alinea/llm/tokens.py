@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -19,8 +20,9 @@ _loaded: dict[str, object] = {}
 
 
 def _tokenizer(path: str):
-    """The tokenizer, once per Python worker."""
+    """The tokenizer, once per Python worker; the tasks are parallel already, so it starts no threads."""
     if path not in _loaded:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         own = Tokenizer.from_file(path)
@@ -59,7 +61,7 @@ def count_tokens(docs: DataFrame, text: str, size: str = "tokens", path: str = T
             for start in range(0, len(pdf), 64):
                 parts = [(_pieces(t) if isinstance(t, str) else []) for t in pdf[text].iloc[start : start + 64]]
                 flat = own.encode_batch_fast([p for ps in parts for p in ps], add_special_tokens=False)
-                lengths = iter([len(e.ids) for e in flat])
+                lengths = iter([len(e) for e in flat])
                 sizes += [sum(next(lengths) for _ in ps) for ps in parts]
             out = pdf[keep].copy()
             out[size] = pd.array(sizes, dtype="int32")
