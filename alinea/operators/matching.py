@@ -86,13 +86,13 @@ def _texts(vectors: DataFrame, side: str) -> DataFrame:
     return docs.select("block", "doc_id", text_id.alias("text_id"), F.col("e.term").alias("terms"), F.col("e.weight").alias("weights"))
 
 
-def _nearest(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _nearest(k: int, cells: int = 1 << 23, batch: int = 64) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """The ``k`` nearest of some right texts for each of some left texts, by similarity, then first id.
 
-    Terms are added rarest first. Once the k-th sum so far is above all that the terms left can give,
-    no text unseen can enter; what is left of the seen ones is worked out on whole vectors.
+    All similarities are worked out in single precision: the most frequent terms as a product of
+    matrices of at most ``cells`` cells, the others by their lists of right texts. What may be among
+    the first ``k`` by the largest error of these is worked out again on whole vectors.
     """
-    slack = 2e-6  # similarities are compared when rounded to 6 places
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         def flat(t: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
@@ -103,61 +103,67 @@ def _nearest(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         if not left.num_rows or not right.num_rows:
             return pa.table({c: pa.array([], t) for c, t in (("block", pa.string()), ("left_text", pa.binary()), ("right_text", pa.binary()), ("first_id", pa.string()), ("similarity", pa.float64()))})
         right = right.sort_by("first_id")
-        ends, terms = flat(right, "terms")
+        ends, hashes = flat(right, "terms")
         weights = flat(right, "weights")[1]
         sizes = np.diff(ends)
-        known, terms = np.unique(terms, return_inverse=True)
-        order = np.argsort(terms, kind="stable")
-        rows, values = np.repeat(np.arange(len(sizes)), sizes)[order], weights[order]
-        starts = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=len(known)))])
-        most = np.maximum.reduceat(values, starts[:-1])
+        order = np.argsort(hashes, kind="stable")
+        begins = np.flatnonzero(np.concatenate([[True], np.diff(hashes[order]) != 0]))
+        known, starts = hashes[order][begins], np.concatenate([begins, [len(order)]])
+        often = np.diff(starts)
+        terms = np.empty(len(order), dtype=np.int64)
+        terms[order] = np.repeat(np.arange(len(known)), often)
+        rows, values = np.repeat(np.arange(len(sizes)), sizes)[order], weights[order].astype(np.float32)
+        # Terms of at least every 32nd text have a column, the most frequent ones first.
+        wide = np.argsort(-often, kind="stable")[: min(cells // len(sizes), int((often * 32 >= len(sizes)).sum()))]
+        column = np.full(len(known), -1)
+        column[wide] = np.arange(len(wide))
+        dense = np.zeros((len(wide), len(sizes)), dtype=np.float32)
+        for c, t in enumerate(wide):
+            dense[c, rows[starts[t] : starts[t + 1]]] = values[starts[t] : starts[t + 1]]
+        longest = np.sqrt(np.add.reduceat(weights * weights, ends[:-1]).max())
         l_ends, l_terms = flat(left, "terms")
         l_weights = flat(left, "weights")[1]
         place = np.minimum(np.searchsorted(known, l_terms), len(known) - 1)
         hit = known[place] == l_terms
-        sums, mine = np.zeros(len(sizes)), np.zeros(len(known))
+        mine = np.zeros(len(known))
+        groups = np.arange(0, len(sizes), max(1, len(sizes) // max(4 * k, 256)))
         found, of, similar = [], [], []
         for i in range(left.num_rows):
+            if i % batch == 0:
+                some = slice(l_ends[i], l_ends[min(i + batch, left.num_rows)])
+                own = np.repeat(np.arange(min(batch, left.num_rows - i)), np.diff(l_ends[i : i + batch + 1]))
+                at = hit[some] & (column[place[some]] >= 0)
+                x = np.zeros((min(batch, left.num_rows - i), len(wide)), dtype=np.float32)
+                x[own[at], column[place[some][at]]] = l_weights[some][at]
+                several = x @ dense
             at = slice(l_ends[i], l_ends[i + 1])
-            t, x = place[at][hit[at]], l_weights[at][hit[at]]
-            by = np.argsort(starts[t + 1] - starts[t], kind="stable")
-            t, x = t[by], x[by]
-            rest = np.minimum(np.cumsum((x * most[t])[::-1])[::-1], np.sqrt(np.cumsum((x * x)[::-1])[::-1]))
-            seen, floor, left_over = np.empty(0, dtype=np.int64), -1.0, 0.0
-            for j in range(len(t)):
-                if len(seen) >= k:
-                    floor = np.partition(sums[seen], len(seen) - k)[len(seen) - k]
-                    if floor - slack > rest[j]:
-                        left_over = rest[j]
-                        break
+            t, x_i = place[at][hit[at]], l_weights[at][hit[at]]
+            sums = several[i % batch]
+            for j in np.flatnonzero(column[t] < 0):
                 p = slice(starts[t[j]], starts[t[j] + 1])
-                new = rows[p][sums[rows[p]] == 0.0]
-                sums[rows[p]] += x[j] * values[p]
-                seen = np.concatenate([seen, new])
-            else:
-                floor = np.partition(sums[seen], len(seen) - k)[len(seen) - k] if len(seen) >= k else -1.0
-            few = seen[sums[seen] + left_over >= floor - slack]
-            sums[seen] = 0.0
+                sums[rows[p]] += np.float32(x_i[j]) * values[p]
+            # The k-th of the largest sums of groups of texts is no more than the k-th largest sum.
+            # Similarities are compared when rounded to 6 places; each product and sum is off by 6e-8 at most.
+            slack = 2e-6 + 4e-7 * (len(t) + 2) * longest * np.sqrt(x_i @ x_i)
+            most = np.maximum.reduceat(sums, groups)
+            floor = np.partition(most, len(most) - k)[len(most) - k] - slack if len(most) >= k else 0.0
+            few = np.flatnonzero(sums >= floor) if floor > 0 else np.flatnonzero(sums)
+            exact = np.empty(0)
             if len(few):
-                mine[t] = x
+                mine[t] = x_i
                 n = sizes[few]
                 first = np.concatenate([[0], np.cumsum(n)[:-1]])
                 inner = np.arange(n.sum()) + np.repeat(ends[few] - first, n)
                 exact = np.add.reduceat(weights[inner] * mine[terms[inner]], first)
                 mine[t] = 0.0
                 exact = np.floor(exact * 1e6 + 0.5) / 1e6
-                best = np.lexsort((few, -exact))[:k]
-                few, exact = few[best], exact[best]
-            else:
-                exact = np.empty(0)
-            if len(few) < k:  # texts without a common term have similarity 0
-                more = np.setdiff1d(np.arange(min(len(sizes), k + len(few))), few)[: k - len(few)]
+            if len(few) < k or floor <= 0:  # texts without a common term have similarity 0
+                more = np.setdiff1d(np.arange(min(len(sizes), k + len(few))), few)[:k]
                 few, exact = np.concatenate([few, more]), np.concatenate([exact, np.zeros(len(more))])
-                best = np.lexsort((few, -exact))
-                few, exact = few[best], exact[best]
-            found.append(few)
-            of.append(np.full(len(few), i))
-            similar.append(exact)
+            best = np.lexsort((few, -exact))[:k]
+            found.append(few[best])
+            of.append(np.full(len(best), i))
+            similar.append(exact[best])
         a, b = pa.array(np.concatenate(of)), pa.array(np.concatenate(found))
         return pa.table({"block": left.column("block").take(a), "left_text": left.column("text_id").take(a), "right_text": right.column("text_id").take(b), "first_id": right.column("first_id").take(b), "similarity": pa.array(np.concatenate(similar))})
 
