@@ -31,7 +31,9 @@ def tfidf(left: DataFrame, right: DataFrame) -> DataFrame:
     both = materialize(left.withColumn("side", F.lit("l")).unionByName(right.withColumn("side", F.lit("r"))), "terms")
     total = both.select("side", "doc_id").distinct().count()
     df = both.select("side", "doc_id", "term").distinct().groupBy("term").agg(F.count("*").alias("df"))
-    idf = df.withColumn("idf", F.log(F.lit(1.0 + total) / (1.0 + F.col("df"))) + 1.0)
+    idf = materialize(df.withColumn("idf", F.log(F.lit(1.0 + total) / (1.0 + F.col("df"))) + 1.0), "idf")
+    if idf.count() <= 200_000:  # else the texts' terms are shuffled once more
+        idf = F.broadcast(idf)
     raw = both.join(idf, "term").withColumn("raw", (1.0 + F.log(F.col("n").cast("double"))) * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("side", "block", "doc_id")))
     return raw.select("side", "block", "doc_id", "term", "df", (F.col("raw") / norm).alias("weight"))
@@ -77,13 +79,13 @@ def cosine_top(vectors: DataFrame, k: int, least: float) -> DataFrame:
     return scored.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k)
 
 
-def _texts(vectors: DataFrame, side: str) -> DataFrame:
-    """(block, doc_id, text_id, terms, weights): one row per document; equal vectors have equal text_id."""
+def _texts(vectors: DataFrame) -> DataFrame:
+    """(side, block, doc_id, text_id, terms, weights): one row per document; equal vectors have equal text_id."""
     entries = F.array_sort(F.collect_list(F.struct(F.xxhash64("term").alias("term"), "weight")))  # one entry per term of the text
-    docs = vectors.filter(F.col("side") == side).groupBy("block", "doc_id").agg(entries.alias("e"))
+    docs = vectors.groupBy("side", "block", "doc_id").agg(entries.alias("e"))
     # Norms of equal texts may differ in the last bit, as their terms are summed in any order.
     text_id = F.unhex(F.md5(F.array_join(F.transform("e", lambda e: F.concat_ws(":", e["term"].cast("string"), F.floor(e["weight"] * 1e9 + 0.5).cast("string"))), " ")))
-    return docs.select("block", "doc_id", text_id.alias("text_id"), F.col("e.term").alias("terms"), F.col("e.weight").alias("weights"))
+    return docs.select("side", "block", "doc_id", text_id.alias("text_id"), F.col("e.term").alias("terms"), F.col("e.weight").alias("weights"))
 
 
 def _nearest(k: int, cells: int = 1 << 23, batch: int = 64) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -178,19 +180,22 @@ def cosine_nearest(vectors: DataFrame, k: int, left_shard: int = 1 << 15, right_
     from these. Lists are shorter than ``k`` only where the block has fewer right texts. Terms are
     compared by 64-bit hashes. Similarities are rounded to 6 places; ties go by right_id.
     """
-    v = materialize(vectors, "vectors")
-    spark = v.sparkSession
-    l, r = materialize(_texts(v, "l"), "left"), materialize(_texts(v, "r"), "right")
+    texts = materialize(_texts(vectors), "texts")
+    l, r = (texts.filter(F.col("side") == side).drop("side") for side in "lr")
     left = materialize(l.groupBy("block", "text_id").agg(F.first(F.struct("terms", "weights")).alias("e")).select("block", "text_id", "e.*"), "left_texts")
     right = materialize(r.groupBy("block", "text_id").agg(F.first(F.struct("terms", "weights")).alias("e"), F.min("doc_id").alias("first_id")).select("block", "text_id", "first_id", "e.*"), "right_texts")
-    n, m = left.count(), right.count()
-    lefts = max(1, -(-n // left_shard), min(2 * spark.sparkContext.defaultParallelism, n // 1024))
-    rights = max(1, -(-m // right_shard))
-    shard = lambda parts: F.pmod(F.xxhash64("text_id"), F.lit(parts)).cast("int")
-    every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    # Every block is cut for its own size, so that its texts are copied no more often than need be.
+    count = lambda df, n: df.groupBy("block").agg(F.count("*").alias(n))
+    sizes = materialize(count(left, "n").join(count(right, "m"), "block").withColumn("rights", F.ceil(F.col("m") / right_shard)), "sizes")
+    work = sizes.agg(F.sum(F.col("n") * F.col("m").cast("double"))).first()[0] or 1.0
+    wanted = F.ceil(F.lit(2.0 * texts.sparkSession.sparkContext.defaultParallelism / work) * F.col("n") * F.col("m") / F.col("rights"))
+    sizes = sizes.withColumn("lefts", F.greatest(F.ceil(F.col("n") / left_shard), F.least(F.floor(F.col("n") / 1024), wanted))).select("block", "lefts", "rights")
+    parts = 4 * (sizes.agg(F.sum(F.col("lefts") * F.col("rights"))).first()[0] or 1)  # spare ones, since a hash deals unevenly
+    shard = lambda of: F.pmod(F.xxhash64("text_id"), F.col(of)).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), (F.col(of) - 1).cast("int")))
     keys = ["block", "ls", "rs"]
-    left = left.withColumn("ls", shard(lefts)).withColumn("rs", every(rights)).repartition(lefts * rights, *keys)
-    right = right.withColumn("rs", shard(rights)).withColumn("ls", every(lefts)).repartition(lefts * rights, *keys)
+    left = left.join(sizes, "block").withColumn("ls", shard("lefts")).withColumn("rs", every("rights")).drop("lefts", "rights").repartition(parts, *keys)
+    right = right.join(sizes, "block").withColumn("rs", shard("rights")).withColumn("ls", every("lefts")).drop("lefts", "rights").repartition(parts, *keys)
     near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_nearest(k), "block string, left_text binary, right_text binary, first_id string, similarity double")
     near = materialize(near, "near")
     best = Window.partitionBy("block", "left_text").orderBy(F.desc("similarity"), "first_id")
